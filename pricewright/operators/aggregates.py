@@ -120,7 +120,8 @@ def mean_ci_bootstrap(
     depend on partitioning. All replicates are columns of one aggregate: rows
     are never multiplied.
     """
-    weights = F.array(*[F.lit(w) for w in poisson_weights()])
+    # a constant that folds to one array literal
+    weights = F.split(F.lit(",".join(map(str, poisson_weights()))), ",").cast("array<int>")
 
     def weight(r: int) -> Column:
         draw = F.pmod(F.xxhash64(row_key, F.lit(seed), F.lit(r)), F.lit(WEIGHT_SLOTS)).cast("int")
