@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from pricewright.functions.constants import constant_lookup, in_constant
+from pricewright.functions.let import let
 from pricewright.vocab import IRREGULAR_NOUNS, PLACEHOLDER, STOP_WORDS
 
 # Characters that stand alone as tokens in treebank-style tokenisation.
@@ -29,39 +31,37 @@ def tokenize(text: Column) -> Column:
     )
 
 
-def singular(token: Column) -> Column:
-    """Noun lemma: irregular plurals from a list, then the plural suffix rules."""
+def singular(token: Column, lemmas: dict[str, str] | None = None) -> Column:
+    """Noun lemma: the lemma table where it knows the word, else the plural suffix rules."""
     n = F.length(token)
 
     def cut(k: int, tail: str = "") -> Column:
         stem = F.substr(token, F.lit(1), n - k)
         return F.concat(stem, F.lit(tail)) if tail else stem
 
-    irregular = F.create_map(*[F.lit(x) for pair in sorted(IRREGULAR_NOUNS.items()) for x in pair])
-    return (
-        F.when(token.isin(*sorted(IRREGULAR_NOUNS)), irregular[token])
-        .when((n < 4) | ~F.endswith(token, F.lit("s")), token)
+    return F.coalesce(
+        constant_lookup(token, IRREGULAR_NOUNS if lemmas is None else lemmas, "string"),
+        F.when((n < 4) | ~F.endswith(token, F.lit("s")), token)
         .when(token.rlike("(ss|us|is)$"), token)
         .when(token.rlike("(ch|sh|x|z|ss)es$"), cut(2))
         .when(F.endswith(token, F.lit("ies")) & (n > 4), cut(3, "y"))
-        .otherwise(cut(1))
+        .otherwise(cut(1)),
     )
 
 
-def clean_tokens(text: Column, keep: str = "alnum") -> Column:
-    """Content-word lemmas in reading order."""
-    kept = F.filter(
-        tokenize(text),
-        lambda w: w.rlike(KEEP[keep]) & ~w.isin(*STOP_WORDS),
-    )
-    return F.transform(kept, singular)
+def clean_tokens(
+    text: Column, keep: str = "alnum", stop_words=STOP_WORDS, lemmas: dict[str, str] | None = None
+) -> Column:
+    """Content-word lemmas in reading order; the stop list and lemma table can be replaced."""
+    if keep not in KEEP:
+        raise ValueError(f"keep must be one of {sorted(KEEP)}, not {keep!r}")
+    kept = F.filter(tokenize(text), lambda w: w.rlike(KEEP[keep]) & ~in_constant(w, stop_words))
+    return F.transform(kept, lambda w: singular(w, lemmas))
 
 
-def clean_text(text: Column, placeholder: str = PLACEHOLDER, keep: str = "alnum") -> Column:
+def clean_text(text: Column, placeholder: str = PLACEHOLDER, keep: str = "alnum", **tables) -> Column:
     """Cleaned text, or the placeholder where nothing is left of it."""
-    if keep not in KEEP:
-        raise ValueError(f"keep must be one of {sorted(KEEP)}, not {keep!r}")
-    joined = F.array_join(clean_tokens(text, keep), " ")
+    joined = F.array_join(clean_tokens(text, keep, **tables), " ")
     return F.coalesce(F.nullif(joined, F.lit("")), F.lit(placeholder))
 
 
@@ -69,11 +69,15 @@ def ngrams(tokens: Column, n: int) -> Column:
     """Space-joined runs of n tokens; empty when there are fewer than n."""
     if n == 1:
         return tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    runs = F.transform(
-        starts, lambda i: F.concat_ws(" ", *[F.element_at(tokens, (i + k).cast("int")) for k in range(n)])
-    )
-    return F.when(F.size(tokens) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+    def runs(t: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(t) - (n - 1))
+        joined = F.transform(
+            starts, lambda i: F.concat_ws(" ", *[F.element_at(t, (i + k).cast("int")) for k in range(n)])
+        )
+        return F.when(F.size(t) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+    return let(tokens, runs)
 
 
 def vector_tokens(text: Column) -> Column:
@@ -85,23 +89,28 @@ def text_stats(text: Column, placeholder: str = PLACEHOLDER) -> Column:
     """Model statistics; spaces count towards the average word length."""
     present = text.isNotNull() & (text != placeholder)
     length = F.when(present, F.length(text)).otherwise(0)
-    count = F.when(present, F.size(words(text))).otherwise(0)
-    return F.struct(
-        F.when(count > 0, length / count).otherwise(F.lit(0.0)).alias("avg_word_length"),
-        length.alias("length"),
-        count.alias("num_words"),
+    return let(
+        F.when(present, F.size(words(text))).otherwise(0),
+        lambda count: F.struct(
+            F.when(count > 0, length / count).otherwise(F.lit(0.0)).alias("avg_word_length"),
+            length.alias("length"),
+            count.alias("num_words"),
+        ),
     )
 
 
 def text_stats_eda(text: Column) -> Column:
     """Exploration statistics; the average is the mean length of the words."""
-    w = words(text)
-    total = F.aggregate(w, F.lit(0), lambda acc, x: acc + F.length(x))
-    return F.struct(
-        F.length(text).alias("char_count"),
-        F.size(w).alias("word_count"),
-        F.when(F.size(w) > 0, total / F.size(w)).otherwise(F.lit(0.0)).alias("avg_word_length"),
-    )
+
+    def stats(w: Column) -> Column:
+        total = F.aggregate(w, F.lit(0), lambda acc, x: acc + F.length(x))
+        return F.struct(
+            F.length(text).alias("char_count"),
+            F.size(w).alias("word_count"),
+            F.when(F.size(w) > 0, total / F.size(w)).otherwise(F.lit(0.0)).alias("avg_word_length"),
+        )
+
+    return let(words(text), stats)
 
 
 def is_missing(text: Column, placeholder: str = PLACEHOLDER) -> Column:

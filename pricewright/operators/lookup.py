@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricewright.functions.let import spread
+
 # A dimension of this many short rows stays well below a hundred megabytes.
 BROADCAST_ROWS = 500_000
 
@@ -70,14 +72,13 @@ def token_overlap(df: DataFrame, token_columns: list[str]) -> DataFrame:
     Each token becomes one row with a flag per feature, so the pair counts are
     sums of flag products: no self join, and tokens are merged before the shuffle.
     """
-    tagged = F.concat(
-        *[
-            F.transform(F.array_distinct(c), lambda t, i=i: F.struct(t.alias("token"), F.lit(i).alias("feature")))
-            for i, c in enumerate(token_columns)
-        ]
-    )
+
+    def tagged(i: int, column: str) -> Column:
+        return F.transform(F.array_distinct(column), lambda t: F.struct(t.alias("token"), F.lit(i).alias("feature")))
+
+    entries = F.concat(*[tagged(i, c) for i, c in enumerate(token_columns)])
     per_token = (
-        df.select(F.explode(tagged).alias("e"))
+        spread(df, [], entries, "e")
         .groupBy("e.token")
         .agg(*[F.max((F.col("e.feature") == i).cast("int")).alias(f"__in_{c}") for i, c in enumerate(token_columns)])
     )

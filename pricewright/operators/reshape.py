@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pricewright.functions.let import let, spread
 from pricewright.functions.text import clean_tokens, ngrams, text_stats_eda
+from pricewright.vocab import PLACEHOLDER
 
 STATS = ("char_count", "word_count", "avg_word_length")
 NGRAMS = ("unigrams", "bigrams", "trigrams")
@@ -46,15 +48,19 @@ def ngrams_long(df: DataFrame, columns: list[str], price: str = "sold_price", ke
 
     Text left empty by cleaning carries the placeholder as its only token.
     """
-    tokens = clean_tokens(F.col("text"), keep)
-    cleaned = text_long(df, columns, price).select(
-        "text_feature", price, F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit("missing"))).alias("t")
-    )
-    kinds = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("ngram"), ngrams(F.col("t"), n + 1).alias("v")) for n, k in enumerate(NGRAMS)])
-    )
-    spread = cleaned.select("text_feature", price, kinds.alias("k"))
-    return spread.select("text_feature", price, "k.ngram", F.explode("k.v").alias("value"))
+
+    def kinds(tokens: Column) -> Column:
+        present = F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit(PLACEHOLDER)))
+        return let(
+            present,
+            lambda t: F.array(
+                *[F.struct(F.lit(k).alias("ngram"), ngrams(t, n + 1).alias("v")) for n, k in enumerate(NGRAMS)]
+            ),
+        )
+
+    long = text_long(df, columns, price)
+    by_kind = spread(long, ["text_feature", price], let(clean_tokens(F.col("text"), keep), kinds), "k")
+    return by_kind.select("text_feature", price, "k.ngram", F.explode("k.v").alias("value"))
 
 
 def explode_list(df: DataFrame, column: str, output: str = "value") -> DataFrame:

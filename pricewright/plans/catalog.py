@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricewright.plans import collect, explore, runs  # noqa: F401
+from pricewright.plans import collect, explore, runs, text  # noqa: F401
 from pricewright.plans.registry import REGISTRY, runner
 
 

@@ -1,7 +1,6 @@
 """SQL twins of the text expressions, written for the checking engine.
 
-``{clean:alnum:column}`` style placeholders are not needed: the two token lists
-are given as list-valued expressions over a column called ``txt``.
+Each placeholder becomes a list-valued expression over a column called ``txt``.
 """
 
 from __future__ import annotations
@@ -42,6 +41,7 @@ def clean_tokens_sql(keep: str) -> str:
 
 
 TEXT_MACROS = {
+    "{all_tokens}": _TOKENS,
     "{alnum_tokens}": clean_tokens_sql("alnum"),
     "{alpha_tokens}": clean_tokens_sql("alpha"),
     "{vector_tokens}": "regexp_extract_all(lower(txt), '[\\p{L}\\p{N}_]{2,}')",
