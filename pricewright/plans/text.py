@@ -108,7 +108,7 @@ def price_by_word_count(t):
        GROUP BY ALL HAVING count > 1""",
 )
 def document_ngrams(t):
-    tokens = t.table("documents").select(X.clean_tokens(F.col("text"), "alpha").alias("t"))
+    tokens = t.documents().select(X.clean_tokens(F.col("text"), "alpha").alias("t"))
     kinds = F.explode(
         F.array(*[F.struct(F.lit(n).alias("ngram"), X.ngrams(F.col("t"), n).alias("v")) for n in (1, 2, 3)])
     )
@@ -191,7 +191,7 @@ _BIGRAMS = "list_transform(range(1, len(v)), lambda i: v[i] || ' ' || v[i + 1])"
        SELECT doc_id, term, tf::DOUBLE AS value FROM c JOIN k USING (term)""",
 )
 def bag_of_words_cells(t):
-    docs = t.table("documents").select("doc_id", "text")
+    docs = t.documents().select("doc_id", "text")
     model = TF.BagOfWords("count", (1, 2), min_df=2, max_features=500).fit(docs, "text")
     return TF.vector_cells(model.transform(docs, "v"), "doc_id", "v", model.terms)
 
@@ -204,7 +204,7 @@ def bag_of_words_cells(t):
        FROM (SELECT doc_id, unnest(list_concat(v, {_BIGRAMS})) AS term FROM v) GROUP BY 1 HAVING df >= 2""",
 )
 def vocabulary_counts(t):
-    return TF.vocabulary(t.table("documents"), "text", (1, 2), min_df=2)
+    return TF.vocabulary(t.documents(), "text", (1, 2), min_df=2)
 
 
 _TFIDF_SQL = f"""WITH v AS (SELECT doc_id, {_TERMS} AS v FROM (SELECT doc_id, text AS txt FROM documents)),
@@ -217,12 +217,12 @@ _TFIDF_SQL = f"""WITH v AS (SELECT doc_id, {_TERMS} AS v FROM (SELECT doc_id, te
 
 @query("tfidf_cells", "ENC13", _TFIDF_SQL % ("", "tf", "weight"))
 def tfidf_cells(t):
-    return TF.tfidf_long(t.table("documents"), "doc_id", "text", min_df=2).withColumn("weight", F.round("weight", 8))
+    return TF.tfidf_long(t.documents(), "doc_id", "text", min_df=2).withColumn("weight", F.round("weight", 8))
 
 
 @query("tfidf_vector_cells", "ENC13", (_TFIDF_SQL % ("ORDER BY total DESC, term LIMIT 1000", "1 AS one", "value")))
 def tfidf_vector_cells(t):
-    docs = t.table("documents").select("doc_id", "text")
+    docs = t.documents().select("doc_id", "text")
     model = TF.BagOfWords("tfidf", min_df=2, max_features=1000).fit(docs, "text")
     out = TF.vector_cells(model.transform(docs, "v"), "doc_id", "v", model.terms)
     return out.select("doc_id", "term", F.lit(1).alias("one"), F.round("value", 8).alias("value"))
@@ -253,7 +253,7 @@ _SENTIMENT_SQL = """tok AS (SELECT id, generate_subscripts(t, 1) AS i, unnest(t)
 
 
 def _sentiment(t):
-    docs = t.table("documents").select(F.col("doc_id").alias("id"), "text")
+    docs = t.documents().select(F.col("doc_id").alias("id"), "text")
     scored = TF.lexicon_sentiment(docs, "text", LEXICON, negations=TURNERS, boosters=PUSHERS)
     return scored.select("id", F.round("sentiment", 8).alias("sentiment"))
 

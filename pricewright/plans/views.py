@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pricewright.operators.partitioning import spread_small
+
 
 def whole_dollars(amount: Column) -> Column:
     return F.round(amount).cast("int")
@@ -65,13 +67,16 @@ class Tables:
 
     def described(self, *columns: str) -> DataFrame:
         """Listings with text: documents priced and classified through part."""
-        rows = self.table("documents")
+        rows = self.documents() if "description" in columns or not columns else self.table("documents")
         from_part = {"sold_price", "designer", "color", "size", "category", "subcategory"}
         columns = columns or tuple(DESCRIBED_COLUMNS)
         if from_part & set(columns):
             rows = rows.join(self.table("part"), F.col("doc_id") == F.col("p_partkey"))
         return rows.select(*[DESCRIBED_COLUMNS[c]().alias(c) for c in columns])
 
+    def documents(self) -> DataFrame:
+        return spread_small(self.table("documents"))
+
     def requests(self) -> DataFrame:
         """Request log out of the event table."""
         return request_rows(self.table("events"))
@@ -84,7 +89,7 @@ class Tables:
         return sweep_run_rows(self.table("orders"))
 
     def pages(self) -> DataFrame:
-        return self.table("pages")
+        return spread_small(self.table("pages"))
 
     def images(self) -> DataFrame:
         """Image archive rows: one per document."""
