@@ -11,9 +11,15 @@ from pricewright.vocab import IRREGULAR_NOUNS, PLACEHOLDER, STOP_WORDS
 # Characters that stand alone as tokens in treebank-style tokenisation.
 SEPARATORS = r"[;@#$%&?!()\[\]{}<>\"“”«»…]+|--+"
 COMMA_OR_COLON = r"[:,]([^0-9]|$)"
-EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
-CLITIC = r"['’](s|re|ve|ll|d|m)$"
-KEEP = {"alnum": r"^[\p{L}\p{N}]+$", "alpha": r"^\p{L}+$"}
+# Punctuation that is not between two letters or digits. The possessive runs keep
+# every pass linear, however long a token is.
+EDGES = r"(?<![\p{L}\p{N}])[^\p{L}\p{N}\s]++|[^\p{L}\p{N}\s]++(?![\p{L}\p{N}])"
+CLITIC = r"['’](s|re|ve|ll|d|m)(?!\S)"
+# Whole tokens with a character outside the kept class.
+REJECT = {
+    "alnum": r"(?<!\S)[\p{L}\p{N}]*+[^\p{L}\p{N}\s]\S*+",
+    "alpha": r"(?<!\S)\p{L}*+[^\p{L}\s]\S*+",
+}
 
 
 def words(text: Column) -> Column:
@@ -21,14 +27,15 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
-def tokenize(text: Column) -> Column:
-    """Lower-cased tokens; punctuation at the edges and clitics are cut off."""
+def normalize(text: Column) -> Column:
+    """Lower-cased text without separators, punctuation at token edges and clitics."""
     spaced = F.regexp_replace(F.lower(text), SEPARATORS, " ")
     spaced = F.regexp_replace(spaced, COMMA_OR_COLON, " $1")
-    return F.transform(
-        F.filter(F.split(spaced, r"\s+"), lambda w: w != ""),
-        lambda w: F.regexp_replace(F.regexp_replace(w, EDGES, ""), CLITIC, ""),
-    )
+    return F.regexp_replace(F.regexp_replace(spaced, EDGES, ""), CLITIC, "")
+
+
+def tokenize(text: Column) -> Column:
+    return words(normalize(text))
 
 
 def singular(token: Column, lemmas: dict[str, str] | None = None) -> Column:
@@ -53,9 +60,10 @@ def clean_tokens(
     text: Column, keep: str = "alnum", stop_words=STOP_WORDS, lemmas: dict[str, str] | None = None
 ) -> Column:
     """Content-word lemmas in reading order; the stop list and lemma table can be replaced."""
-    if keep not in KEEP:
-        raise ValueError(f"keep must be one of {sorted(KEEP)}, not {keep!r}")
-    kept = F.filter(tokenize(text), lambda w: w.rlike(KEEP[keep]) & ~in_constant(w, stop_words))
+    if keep not in REJECT:
+        raise ValueError(f"keep must be one of {sorted(REJECT)}, not {keep!r}")
+    candidates = words(F.regexp_replace(normalize(text), REJECT[keep], " "))
+    kept = F.filter(candidates, lambda w: ~in_constant(w, stop_words))
     return F.transform(kept, lambda w: singular(w, lemmas))
 
 

@@ -194,9 +194,8 @@ def density(
 ) -> DataFrame:
     """Gaussian kernel density per group on a fixed grid.
 
-    Each grid point is one column of a single grouped aggregate, combined on the
-    map side; rows are not multiplied by the grid. Equal values are counted
-    first, so a hot value costs one evaluation per group.
+    Equal values are counted first, so a hot value costs one evaluation per grid
+    point; the evaluations are summed on the map side into groups x grid rows.
     """
     if bandwidth is None:
         groups = [r[0] for r in df.select(by).distinct().limit(1001).collect()]
@@ -213,22 +212,15 @@ def density(
         .agg(F.count("*").alias("__n"))
         .withColumn("__h", width)
     )
-    scale = F.col("__n") / (F.col("__h") * F.lit(math.sqrt(2 * math.pi)))
-
-    def kernel(g: float) -> Column:
-        z = (F.col("__v") - F.lit(float(g))) / F.col("__h")
-        return F.exp(F.lit(-0.5) * z * z) * scale
-
-    sums = counted.groupBy(by).agg(
-        F.sum("__n").alias("__rows"), *[F.sum(kernel(g)).alias(f"__g{i}") for i, g in enumerate(grid)]
-    )
-    cells = F.array(
-        *[
-            F.struct(F.lit(float(g)).alias(column), (F.col(f"__g{i}") / F.col("__rows")).alias("density"))
-            for i, g in enumerate(grid)
-        ]
+    points = F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("__g")
+    z = (F.col("__v") - F.col("__g")) / F.col("__h")
+    kernel = F.exp(F.lit(-0.5) * z * z) * F.col("__n") / (F.col("__h") * F.lit(math.sqrt(2 * math.pi)))
+    return (
+        counted.select(by, "__v", "__n", "__h", points)
+        .groupBy(by, "__g")
+        .agg((F.sum(kernel) / F.sum("__n")).alias("density"))
+        .withColumnRenamed("__g", column)
     )
-    return sums.select(by, F.explode(cells).alias("c")).select(by, "c.*")
 
 
 def usage_stats(df: DataFrame, days: int | None = None, now: Column | None = None) -> DataFrame:

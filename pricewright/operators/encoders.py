@@ -102,11 +102,17 @@ class MeanEncoder:
 
     def fit(self, df: DataFrame, columns: list[str], target: str) -> "MeanEncoderModel":
         stats = materialize(category_stats(df, columns, target), "category-stats")
-        counts = {r["feature"]: r["n"] for r in stats.groupBy("feature").agg(F.count("*").alias("n")).collect()}
         prior = df.agg(F.avg(target)).first()[0]
+        return self.model(columns, stats, category_counts(stats), prior)
+
+    def model(self, columns: list[str], stats: DataFrame, counts: dict[str, int], prior: float | None) -> "MeanEncoderModel":
         return MeanEncoderModel(self, list(columns), stats, counts, float(prior) if prior is not None else 0.0)
 
 
+def category_counts(stats: DataFrame) -> dict[str, int]:
+    return {r["feature"]: r["n"] for r in stats.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+
+
 class MeanEncoderModel:
     def __init__(self, encoder: MeanEncoder, columns: list[str], stats: DataFrame, counts: dict[str, int], prior: float):
         self.encoder, self.columns, self.stats, self.counts, self.prior = encoder, columns, stats, counts, prior
@@ -211,18 +217,34 @@ class FeaturePlan:
         if self.no_encoding:
             raise ValueError("a plan without encoding has nothing to fit; use passthrough()")
         df = self._sized(df)
-        scaling = standard_parameters(df, self.numeric_cols) if self.numeric_cols else {}
-        labels = {c: labels_of(df, c) for c in self.ohe_cols}
+        # one pass for the numbers, one for the statistics of every category
+        row = df.agg(
+            F.avg(target).alias("prior"), *[e for c in self.numeric_cols for e in (F.avg(c), F.stddev_pop(c))]
+        ).first()
+        scaling = {
+            c: (float(row[2 * i + 1]), float(row[2 * i + 2]) or 1.0) for i, c in enumerate(self.numeric_cols)
+        }
+        listed = [c for c in self.oe_cols if c != "condition"] + self.ohe_cols
+        wanted = list(dict.fromkeys([*listed, *self.catboost_cols, *self.te_cols]))
+        labels, means = {c: [] for c in listed}, []
+        if wanted:
+            stats = materialize(category_stats(df, wanted, target), "category-stats")
+            counts = category_counts(stats)
+            for c in listed:
+                if counts.get(c, 0) > MAX_ONE_HOT:
+                    raise ValueError(f"{c!r} has more than {MAX_ONE_HOT} values; use a mean encoding")
+            for r in stats.where(F.col("feature").isin(listed)).select("feature", "category").collect() if listed else []:
+                labels[r["feature"]].append(r["category"])
+            if self.catboost_cols:
+                encoder = PriorMean(**(self.catboost_params or {}))
+                means.append(encoder.model(self.catboost_cols, stats, counts, row["prior"]))
+            if self.te_cols:
+                means.append(TargetMean(**(self.te_params or {})).model(self.te_cols, stats, counts, row["prior"]))
         ranks = {
-            c: CONDITION_RANK if c == "condition" else {v: i + 1 for i, v in enumerate(labels_of(df, c))}
+            c: CONDITION_RANK if c == "condition" else {v: i + 1 for i, v in enumerate(sorted(labels[c]))}
             for c in self.oe_cols
         }
-        means = []
-        if self.catboost_cols:
-            means.append(PriorMean(**(self.catboost_params or {})).fit(df, self.catboost_cols, target))
-        if self.te_cols:
-            means.append(TargetMean(**(self.te_params or {})).fit(df, self.te_cols, target))
-        return FeaturePlanModel(self, scaling, labels, ranks, means)
+        return FeaturePlanModel(self, scaling, {c: sorted(labels[c]) for c in self.ohe_cols}, ranks, means)
 
 
 class FeaturePlanModel:

@@ -10,7 +10,7 @@ from pyspark.ml.feature import CountVectorizerModel, PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright.functions.constants import constant_lookup, in_constant
 from pricewright.functions.let import let, spread
@@ -91,8 +91,9 @@ def tfidf_long(
     documents = df.agg(F.count("*").alias("n")).scalar()
     weights = counted.select("term", smooth_idf(F.col("df"), documents).alias("idf"))
     weighted = cells.join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, key).select(key, "term", "tf", (F.col("w") / F.col("norm")).alias("weight"))
+    # the cells of one text are few enough to stand in one window
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return weighted.select(key, "term", "tf", (F.col("w") / norm).alias("weight"))
 
 
 def ngram_counts(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricewright.plans import collect, encode, explore, model, runs, text  # noqa: F401
+from pricewright.plans import collect, encode, explore, model, runs, storage, text  # noqa: F401
 from pricewright.plans.registry import REGISTRY, runner
 
 

@@ -13,11 +13,11 @@ def _list(values) -> str:
 
 
 _TOKENS = (
-    "list_transform(list_filter(regexp_split_to_array("
+    "list_filter(list_transform(list_filter(regexp_split_to_array("
     "regexp_replace(regexp_replace(lower(txt), '[;@#$%&?!()\\[\\]{}<>\"“”«»…]+|--+', ' ', 'g'), "
     "'[:,]([^0-9]|$)', ' \\1', 'g'), '\\s+'), lambda w: w <> ''), "
     "lambda w: regexp_replace(regexp_replace(w, '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g'), "
-    "'[''’](s|re|ve|ll|d|m)$', ''))"
+    "'[''’](s|re|ve|ll|d|m)$', '')), lambda w: w <> '')"
 )
 
 _IRREGULAR = "CASE w " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in IRREGULAR_NOUNS.items()) + " END"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pricewright.schemas import IMAGES, LISTINGS, REQUESTS
-from pricewright.sources.writers import path_exists
+from pricewright.sources.writers import CSV_TEXT, path_exists
 
 
 def _files_named(spark: SparkSession, root: str, name: str) -> list[str]:
@@ -24,11 +24,11 @@ def _files_named(spark: SparkSession, root: str, name: str) -> list[str]:
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+    """CSV with quoted line breaks; such files are read whole per task, so write many of them."""
     return (
         spark.read.schema(schema)
-        .option("header", True)
+        .options(**CSV_TEXT)
         .option("multiLine", True)
-        .option("escape", '"')
         .option("enforceSchema", False)
         .csv(paths)
     )

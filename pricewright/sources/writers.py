@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+CSV_TEXT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def only_new(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows of the new batch whose key is not stored yet."""
     return new.join(existing.select(key), key, "left_anti")
@@ -18,8 +21,8 @@ def path_exists(spark, path: str) -> bool:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; quotes are doubled so free text reads back whole."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", False).csv(path)
+    """CSV with a header; quotes are doubled and spaces kept, so free text reads back whole."""
+    df.write.mode("overwrite").options(**CSV_TEXT).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
