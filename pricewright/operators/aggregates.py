@@ -198,9 +198,9 @@ def density(
     point; the evaluations are summed on the map side into groups x grid rows.
     """
     if bandwidth is None:
-        groups = [r[0] for r in df.select(by).distinct().limit(1001).collect()]
-        if len(groups) > 1000:
-            raise ValueError("give the bandwidth when there are more than 1000 groups")
+        groups = [r[0] for r in df.select(by).distinct().limit(51).collect()]
+        if len(groups) > 50:
+            raise ValueError("give the bandwidth when there are more than 50 groups")
         bandwidth = {g: rule_of_thumb_bandwidth(df.where(F.col(by) == g), column) for g in groups}
     if isinstance(bandwidth, dict):
         width = F.create_map(*[F.lit(x) for pair in bandwidth.items() for x in pair])[F.col(by)]

@@ -55,6 +55,11 @@ def nearest(
     train = train.select(F.col(train_key).alias("t"), F.col(vector).cast("array<double>").alias("v"))
     query = query.select(F.col(query_key).alias("q"), F.col(vector).cast("array<double>").alias("v"))
 
+    # of equal vectors only the k smallest keys can be among k nearest rows; the
+    # limit is applied in every task before the shuffle, so hot copies stay cheap
+    copies = Window.partitionBy("v").orderBy("t")
+    train = train.withColumn("__copy", F.row_number().over(copies)).where(F.col("__copy") <= k).drop("__copy")
+
     rows = train.count()
     wanted = int(min(MAX_PIVOTS, max(1, rows**0.5 / 2)))
     picked = train.orderBy(F.md5(F.col("t").cast("string"))).limit(wanted).select("v").collect()

@@ -6,6 +6,7 @@ import json
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.feature import CountVectorizerModel, PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -257,7 +258,8 @@ def _gram_times(sparse: DataFrame, basis: np.ndarray) -> np.ndarray:
             np.add.at(product, row_of, values[:, None] * shared.value[columns])
             np.add.at(total, columns, values[:, None] * product[row_of])
         if some:
-            salt = int(np.random.default_rng().integers(1 << 30))
+            # the task number keeps the shares in place when a task is run again
+            salt = TaskContext.get().partitionId()
             for block, start in enumerate(range(0, width, BLOCK_ROWS)):
                 yield pd.DataFrame(
                     {"block": [block], "salt": [salt], "data": [total[start : start + BLOCK_ROWS].tobytes()]}
@@ -289,8 +291,19 @@ def principal_components(
 
     Narrow matrices use the built-in PCA. Wide ones use subspace iteration: each
     pass multiplies the covariance with a thin basis, centring included, so
-    neither the covariance nor the data is ever held in one place.
+    neither the covariance nor the data is ever held in one place. The vectors are
+    kept between the passes.
     """
+    df = df.select(column).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _components(df, column, k, passes, oversample, seed)
+    finally:
+        df.unpersist()
+
+
+def _components(
+    df: DataFrame, column: str, k: int, passes: int, oversample: int, seed: int
+) -> tuple[np.ndarray, np.ndarray]:
     first = df.select(F.unwrap_udt(F.col(column))["size"].alias("w"), F.size(vector_to_array(column)).alias("n")).first()
     width = first["w"] or first["n"]
     rows, mean = df.agg(F.count("*"), Summarizer.mean(F.col(column))).first()

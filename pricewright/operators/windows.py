@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pricewright.operators.aggregates import count_mean
 from pricewright.operators.lookup import lookup_join
 from pricewright.operators.select import price_tail
+from pricewright.session import materialize
 from pricewright.vocab import size_order, values_table
 
 ROWS_PER_SLICE = 5_000_000
@@ -42,6 +43,36 @@ def recent_predictions(df: DataFrame, session: str, at: str, tie: str, k: int =
     return df.withColumn("recency", F.row_number().over(w)).where(F.col("recency") <= k)
 
 
+def _slice_by_lead(df: DataFrame, lead_name: str, slices: int) -> DataFrame:
+    """Slices of about equal size along the leading order column (no shuffle)."""
+    lead, kind = F.col(lead_name), dict(df.dtypes)[lead_name]
+    if kind.startswith("timestamp"):
+        lead = F.unix_micros(lead.cast("timestamp"))
+    elif kind == "date":
+        lead = F.unix_date(lead)
+    elif kind == "string":
+        # strings are sliced by range below
+        return df.withColumn("__slice", F.lit(0.0))
+    sliced = df.withColumn("__lead", lead.cast("double"))
+    cuts = sliced.approxQuantile("__lead", [i / slices for i in range(1, slices)], 1 / (10 * slices))
+    cuts = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
+    buckets = Bucketizer(splits=cuts, inputCol="__lead", outputCol="__bucket", handleInvalid="keep").transform(sliced)
+    # missing values sort first, as they do in the window
+    return buckets.withColumn("__slice", F.when(F.col("__lead").isNull(), -1.0).otherwise(F.col("__bucket"))).drop(
+        "__lead", "__bucket"
+    )
+
+
+def _slice_by_range(df: DataFrame, order: list[str], slices: int) -> DataFrame:
+    """Slices along all order columns, for a leading column with hot values.
+
+    The range bounds are sampled, so the sliced rows are written once; every
+    later step, also after a lost executor, sees the same slices.
+    """
+    ranged = df.repartitionByRange(slices, *[F.asc(c) for c in order])
+    return materialize(ranged.withColumn("__slice", F.spark_partition_id().cast("double")), "slices")
+
+
 def running(
     df: DataFrame,
     by: list[str],
@@ -53,10 +84,10 @@ def running(
     """Running sum, count, min or max over ordered rows, also inside hot groups.
 
     ``values`` maps an output name to (function, expression). When the table is
-    too large for one task per group, the leading order column is cut into
-    slices of about equal size: each slice is windowed by itself and the totals
-    of the slices before it are added, so a group that holds a third of all rows
-    still spreads over many tasks. The result is the same for any slicing.
+    too large for one task per group, the ordered rows are cut into slices: each
+    slice is windowed by itself and the totals of the slices before it are added,
+    so a group that holds a third of all rows still spreads over many tasks. The
+    result is the same for any slicing.
     """
     combine = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
     single = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -67,16 +98,10 @@ def running(
         w = Window.partitionBy(*by).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, until)
         return df.withColumns({name: single[fn](expr).over(w) for name, (fn, expr) in values.items()})
 
-    lead = F.col(order[0])
-    kind = dict(df.dtypes)[order[0]]
-    if kind.startswith("timestamp"):
-        lead = F.unix_micros(lead.cast("timestamp"))
-    elif kind == "date":
-        lead = F.unix_date(lead)
-    sliced = df.withColumn("__lead", lead.cast("double"))
-    cuts = sliced.approxQuantile("__lead", [i / slices for i in range(1, slices)], 1 / (10 * slices))
-    cuts = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
-    sliced = Bucketizer(splits=cuts, inputCol="__lead", outputCol="__slice", handleInvalid="keep").transform(sliced)
+    sliced = _slice_by_lead(df, order[0], slices)
+    largest = sliced.groupBy(*by, "__slice").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if largest > 3 * rows_per_slice:
+        sliced = _slice_by_range(df, [*by, *order], slices)
 
     own = Window.partitionBy(*by, "__slice").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, until)
     inner = sliced.withColumns({f"__own_{n}": single[fn](e).over(own) for n, (fn, e) in values.items()})

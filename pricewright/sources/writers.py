@@ -41,13 +41,17 @@ def append_batch(new: DataFrame, path: str, key: str | None = None, partition_by
         new = new.dropDuplicates([key])
         if path_exists(spark, path):
             new = only_new(new, spark.read.parquet(path), key)
-    if new.isEmpty():
-        return False
-    writer = new.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return True
+    new = new.persist()
+    try:
+        if new.isEmpty():
+            return False
+        writer = new.write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(path)
+        return True
+    finally:
+        new.unpersist()
 
 
 def append_images(new: DataFrame, path: str) -> bool:

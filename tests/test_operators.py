@@ -59,6 +59,22 @@ def test_running_is_the_same_for_any_slicing(spark, inclusive):
     assert got == expected
 
 
+def test_running_with_a_hot_leading_value(spark):
+    """Half of the hot group shares one date: slices are cut along all order columns."""
+    rows = [(i, "hot" if i % 3 else "b", 7 if i % 2 else i % 50, 1) for i in range(1200)]
+    df = spark.createDataFrame(rows, "k int, g string, at int, x int").repartition(5)
+    got = W.running(df, ["g"], ["at", "k"], {"n": ("sum", F.col("x"))}, rows_per_slice=60)
+    for group in ("hot", "b"):
+        ordered = got.where(F.col("g") == group).orderBy("at", "k").collect()
+        assert [r["n"] for r in ordered] == list(range(1, len(ordered) + 1))
+
+
+def test_running_over_text_order(spark):
+    df = spark.range(300).select(F.format_string("%05d", "id").alias("k"), F.lit("g").alias("g"))
+    got = W.running(df, ["g"], ["k"], {"n": ("count", F.lit(1))}, rows_per_slice=50).orderBy("k").collect()
+    assert [r["n"] for r in got] == list(range(1, 301))
+
+
 def test_top_k_breaks_ties_by_key(spark):
     groups = spark.createDataFrame([("b", 2), ("a", 2), ("c", 5), ("d", 1)], "f string, count int")
     assert [r["f"] for r in W.top_k(groups, "f", 3).orderBy("rank").collect()] == ["c", "a", "b"]
