@@ -154,10 +154,36 @@ def unencoded_features(t):
     return E.FeaturePlan(no_encoding=True).passthrough(t.described(*columns))
 
 
+_PLAN_COLUMNS = ("n_photos", "condition", "department", "category", "color", "designer", "subcategory", "size")
+
+
+def _plan_sql() -> str:
+    means = ("color", "designer", "size", "subcategory")
+    value = ("prior * (1 - 1 / (1 + exp(-(count(*) - 20) / 10.0))) "
+             "+ avg(sold_price) * (1 / (1 + exp(-(count(*) - 20) / 10.0)))")
+    joins = " ".join(f"JOIN (SELECT {c}, {value} AS {c}_enc FROM d, s GROUP BY {c}, prior) e_{c} USING ({c})" for c in means)
+    hot = [("department", v) for v in ("menswear", "womenswear")]
+    hot += [("category", v) for v in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")]
+    ones = ", ".join(f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END::DOUBLE AS {c}_{v}" for c, v in hot)
+    rank = "CASE condition " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in CONDITION_RANK.items()) + " END::DOUBLE AS condition_rank"
+    outs = ", ".join(f"round({c}_enc, 7) AS {c}_enc" for c in means)
+    return f"""WITH d AS {{described}},
+       s AS (SELECT avg(n_photos) AS m, stddev_pop(n_photos) AS sd, sum(sold_price)::DOUBLE / count(*) AS prior FROM d)
+       SELECT id, round((n_photos - m) / sd, 7) AS n_photos_scaled, {ones}, {rank}, {outs} FROM d {joins}, s"""
+
+
+@query("planned_features", "ENC9 ENC3 ENC4 ENC5 ENC6", _plan_sql())
+def planned_features(t):
+    """Every feature of the default plan, by name."""
+    rows = t.described("id", *_PLAN_COLUMNS, "sold_price")
+    model = E.FeaturePlan().fit(rows, "sold_price")
+    wide = model.encoded(rows, ["id"])
+    return wide.select("id", *[F.round(f"`{n}`", 7).alias(n.replace("=", "_")) for n in model.names()])
+
+
 @query("feature_vectors", "ENC9 ENC11")
 def feature_vectors(t):
-    columns = ["id", "n_photos", "condition", "department", "category", "color", "designer", "subcategory", "size"]
-    rows = t.described(*columns, "sold_price")
+    rows = t.described("id", *_PLAN_COLUMNS, "sold_price")
     model = E.FeaturePlan().fit(rows, "sold_price")
     out = E.assemble(model.transform(rows), ["tab_features", "sold_price"])
     from pyspark.ml.functions import vector_to_array

@@ -36,8 +36,18 @@ _TREES = (("dtree", {}), ("rforest", {"estimator_params.n_estimators": 20}), ("x
                         "transformer_params.catboost_cols": ["designer", "color", "size", "subcategory"]}))
 
 
-def _register(kind: str, config: dict, ids: str) -> None:
-    @query(f"experiment_{kind.replace('-', '_')}", ids)
+_MEDIAN_SQL = """WITH d AS (SELECT *, ('0x' || substr(md5(id || '#42'), 1, 8))::BIGINT / 4294967296.0 AS u FROM {described}),
+       m AS (SELECT exp(quantile_cont(ln(1 + sold_price), 0.5)) - 1 AS p FROM d WHERE u < 0.6),
+       e AS (SELECT u < 0.6 AS train, round_even(sqrt(avg(pow(ln(1 + sold_price) - ln(1 + p), 2))), 3) AS rmsle,
+                    round_even(sum(abs(sold_price - p)) / sum(sold_price), 2) AS wape FROM d, m WHERE u < 0.8 GROUP BY 1)
+       SELECT 'c-median' AS run, '{"estimator_class": "c-median", "use_text_features": false}' AS config,
+              'c-median' AS estimator_class, true AS use_tab_features, false AS use_text_features,
+              max(rmsle) FILTER (WHERE train) AS rmsle_train, max(wape) FILTER (WHERE train) AS wape_train,
+              max(rmsle) FILTER (WHERE NOT train) AS rmsle_eval, max(wape) FILTER (WHERE NOT train) AS wape_eval FROM e"""
+
+
+def _register(kind: str, config: dict, ids: str, sql: str | None = None) -> None:
+    @query(f"experiment_{kind.replace('-', '_')}", ids, sql)
     def build(t):
         return _experiment(t, kind, **config)
 
@@ -47,7 +57,7 @@ for _kind, _config in _LINEAR:
 for _kind, _config in _TREES:
     _register(_kind, _config, "ML5 ML8" if _kind == "catboost" else "ML4 ML8")
 _register("knn", {}, "ML6 ML8")
-_register("c-median", {}, "ML7 ML8")
+_register("c-median", {}, "ML7 ML8 AGG15 AGG16", _MEDIAN_SQL)
 
 _TEXT = {
     "extractor_params.vectorizer_params": {"ngram_range": [1, 1], "max_features": 300, "min_df": 2},
@@ -161,7 +171,14 @@ def ingest_stream(t):
     return t.spark.read.parquet(out).select("id", F.col("parsing_date").cast("date").alias("parsing_date"), "hashtags", "size")
 
 
-@query("score_stream", "STM2 ML11 DQ3")
+@query(
+    "score_stream",
+    "STM2 ML11 DQ3",
+    """SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN v = '' THEN 'SUCCESS' ELSE 'FAILURE' END AS status, v = '' AS is_priced,
+              nullif(v, '') AS violations
+       FROM (SELECT doc_id, concat_ws(',', CASE WHEN doc_id % 5 = 0 THEN 'condition' END,
+                                      CASE WHEN doc_id % 30 NOT BETWEEN 1 AND 25 THEN 'n_photos' END) AS v FROM documents)""",
+)
 def score_stream(t):
     """Submitted listings scored as they arrive; those with violations fail with the reasons."""
     model = _small_model(t, "stream")
@@ -185,7 +202,9 @@ def score_stream(t):
     out, checkpoint = fresh_path(t.spark, "scores"), fresh_path(t.spark, "scores-checkpoint")
     flows.score_stream(listings, model, out, checkpoint).awaitTermination()
     rows = t.spark.read.parquet(out)
-    return rows.select("id", "status", "predicted_price", F.array_join("violations", ",").alias("violations"))
+    return rows.select(
+        "id", "status", (F.col("predicted_price") > 0).alias("priced"), F.array_join("violations", ",").alias("violations")
+    ).select("id", "status", F.coalesce("priced", F.lit(False)).alias("is_priced"), "violations")
 
 
 @query(
