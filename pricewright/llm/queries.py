@@ -11,6 +11,7 @@ from pricewright.llm.exact_dedup import exact_duplicates
 from pricewright.llm.jaccard import near_duplicates
 from pricewright.llm.packing import pack
 from pricewright.llm.secrets import scan_secrets
+from pricewright.llm.suffix_dedup import repeated_substrings
 from pricewright.llm.token_counts import count_tokens
 from pricewright.llm.toxicity import toxicity
 
@@ -54,6 +55,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+@query("op2_repeated_substrings")
+def op2_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_substrings(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("op3_ngram_jaccard")
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
