@@ -252,7 +252,8 @@ def cell_rows(texts: DataFrame, jobs: DataFrame, length: int, width: int) -> Dat
                 hashes = []
                 for values in (ALL_VALUE, OTHER_VALUE):
                     of = running_hash(values[body])
-                    hashes.append([of(s, e).view(np.int64) for s, e in spans])
+                    # for single starts the union is the common part: kept once
+                    hashes.append([of(s, e).view(np.int64) if width > 1 or k == 0 else np.zeros(len(s), np.int64) for k, (s, e) in enumerate(spans)])
                 arrays = [
                     pa.array(batch.column(0).to_numpy()[owner[row]]), pa.array(pos[row], pa.int64()), pa.array(c_low.astype(np.int32)), pa.array(c_high.astype(np.int32)),
                     pa.array(weight[row]), pa.array(done[row]), *[pa.array(hashes[v][s]) for s in (0, 1) for v in (0, 1)],
