@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pricewright.llm.decontaminate import contamination
 from pricewright.llm.exact_dedup import exact_duplicates
+from pricewright.llm.html_text import page_text
 from pricewright.llm.jaccard import near_duplicates
 from pricewright.llm.packing import pack
 from pricewright.llm.secrets import scan_secrets
 from pricewright.llm.suffix_dedup import repeated_substrings
 from pricewright.llm.token_counts import count_tokens
+from pricewright.llm.token_output import token_digests, write_token_ids
 from pricewright.llm.toxicity import toxicity
+from pricewright.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,12 +68,24 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op4_token_output")
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-ids")
+    write_token_ids(table(spark, sf_dir, "documents"), path, tokenizer())
+    return token_digests(spark, path)
+
+
 @query("op5_toxicity")
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.selectExpr("doc_id", "held_out", "score", "predicted", "cast(size(passages) as bigint) as n_passages")
 
 
+@query("op6_page_text")
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text(table(spark, sf_dir, "pages"))
+
+
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer())
