@@ -55,6 +55,8 @@ def _slice_by_lead(df: DataFrame, lead_name: str, slices: int) -> DataFrame:
         return df.withColumn("__slice", F.lit(0.0))
     sliced = df.withColumn("__lead", lead.cast("double"))
     cuts = sliced.approxQuantile("__lead", [i / slices for i in range(1, slices)], 1 / (10 * slices))
+    if not cuts:  # a column of missing values only: one slice
+        return df.withColumn("__slice", F.lit(-1.0))
     cuts = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
     buckets = Bucketizer(splits=cuts, inputCol="__lead", outputCol="__bucket", handleInvalid="keep").transform(sliced)
     # missing values sort first, as they do in the window

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,21 +29,22 @@ def local_session(cores: str | int = "*", name: str = "pricewright") -> SparkSes
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when neither the setting nor the context names one (tests, laptops) a
-    temporary folder is made and set.
+    A session of one machine (tests, laptops) that names none gets a folder below
+    its warehouse; a cluster has to name one.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        folder = tempfile.mkdtemp(prefix="pricewright-")
-        spark.sparkContext.setCheckpointDir(folder)
-        return folder
-    # getCheckpointDir ends with a per-context random part
-    return current.rsplit("/", 1)[0]
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
+    if not configured:
+        current = context.getCheckpointDir()
+        if current is not None:
+            # getCheckpointDir ends with a per-context random part
+            return current.rsplit("/", 1)[0]
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
+    return configured
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

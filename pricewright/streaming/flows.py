@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pricewright.operators.experiments import score_valid
 from pricewright.operators.models import FittedPriceModel
 from pricewright.operators.select import transform_listings
 from pricewright.schemas import LISTINGS
+from pricewright.sources.writers import only_new, path_exists
 
 
 def listing_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -17,18 +18,29 @@ def listing_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000
 
 
 def ingest_stream(listings: DataFrame, path: str, checkpoint: str, key: str = "id", day: str = "parsing_date") -> StreamingQuery:
-    """Clean arriving listings and append them, each id once within the watermark.
+    """Clean arriving listings and append every one, each id once, however late it comes.
 
-    A repeated id is dropped when it comes within two days of the first one; the
-    state of older ids is released, so it does not grow with the table.
+    A micro-batch is stored in a folder of its own (column ``batch``), so a batch
+    that is replayed after a failure replaces itself. Ids stored by earlier
+    batches are left out; of a repeated id inside a batch the first day's row
+    stays. Rows without an id are all kept.
     """
-    timed = listings.withColumn("__at", F.col(day).cast("timestamp")).withWatermark("__at", "2 days")
-    once = transform_listings(timed.dropDuplicatesWithinWatermark([key])).drop("__at")
+
+    def store(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = transform_listings(batch)
+        order = [F.col(day).asc_nulls_last(), F.xxhash64(*rows.columns)]
+        once = F.row_number().over(Window.partitionBy(key, F.when(F.col(key).isNull(), F.monotonically_increasing_id())).orderBy(*order))
+        rows = rows.withColumn("__turn", once).where("__turn = 1").drop("__turn")
+        if path_exists(spark, path):
+            stored = spark.read.parquet(path)
+            if "batch" in stored.columns:  # an earlier batch may have had no rows
+                rows = only_new(rows, stored.where(F.col("batch") < number), key)
+        rows.write.mode("overwrite").partitionBy(day).parquet(f"{path}/batch={number}")
+
     return (
-        once.writeStream.format("parquet")
-        .option("path", path)
+        listings.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(day)
         .trigger(availableNow=True)
         .start()
     )

@@ -136,3 +136,16 @@ def test_usage_windows_stream_equals_table(spark, tmp_path):
     closed = flows.usage_windows(log, "1 hour").where("end <= timestamp'2024-01-01 08:09:00'")
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(closed)
     assert closed.count() == 16
+
+
+def test_ingest_stream_keeps_late_files(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("late", "late-out", "late-checkpoint"))
+    days = ["2024-03-01", "2024-03-03", "2024-01-15", "2024-01-16"]
+    for k, day in enumerate(days):
+        rows = [(f"{k}-{i}" if i else "same", day) for i in range(10)]
+        spark.createDataFrame(rows, "id string, parsing_date string").coalesce(1).write.mode("append").json(source)
+    stream = flows.listing_stream(spark, source, files_per_trigger=1)
+    flows.ingest_stream(stream, out, checkpoint).awaitTermination()
+    stored = spark.read.parquet(out)
+    assert stored.select("id").distinct().count() == stored.count() == 37
+    assert stored.select("batch").distinct().count() == 4
