@@ -193,9 +193,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         cells = np.flatnonzero(table)
         return pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(table[cells], pa.int64())], ["cell", "n"])
 
-    counts = map_batches(rows, counted, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    counts = map_batches(rows, counted, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(4 * BUCKETS)
-    table[counts["cell"].to_numpy(np.int64)] = counts["n"].to_numpy(np.float64)
+    table[counts["cell"].to_numpy()] = counts["n"].to_numpy()
     clean, toxic = table.reshape(2, 2, BUCKETS)  # class, half
     halves = [log_odds(toxic[h], clean[h]) for h in (0, 1)]
     scores = log_odds(toxic.sum(0), clean.sum(0))
@@ -210,13 +210,19 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             segments.append([s for _, _, s in found])
         return pa.RecordBatch.from_arrays([batch.column(1), pa.array(n, pa.int64()), pa.array(segments, pa.list_(pa.float64()))], ["y", "n", "found"])
 
-    held = map_batches(rows, best, "y int, n bigint, found array<double>").toPandas()
-    y = held["y"].to_numpy(np.float64)
-    segments = [[(0, 0, float(s)) for s in found] for found in held["found"]]
-    size = held["n"].to_numpy(np.int64)
-    tops = np.array([rate * max(s for _, _, s in f) - math.log(n) for f, n, t in zip(segments, size, y) if t == 0 and f and n])
+    held = map_batches(rows, best, "y int, n bigint, found array<double>").toArrow()
+    y, size = held["y"].to_numpy().astype(np.float64), held["n"].to_numpy()
+    found = held["found"].combine_chunks()
+    flat = found.flatten().to_numpy()
+    owner = np.repeat(np.arange(len(y)), np.diff(found.offsets.to_numpy())) if len(y) else np.zeros(0, np.int64)
+    top = np.zeros(len(y))
+    np.maximum.at(top, owner, flat)
+    tops = (rate * top - np.log(np.maximum(size, 1)))[(y == 0) & (top > 0)]
     scale = math.exp(float(tops.mean()) - np.euler_gamma) if len(tops) >= 10 else 0.05
-    x = np.array([features(int(n), f, rate, scale) for f, n in zip(segments, size)]).reshape(-1, 2)
+    over = np.maximum(0, rate * flat - np.log(np.maximum(scale * size, 1e-9))[owner])
+    most = np.zeros(len(y))
+    np.maximum.at(most, owner, over)
+    x = np.column_stack((most, np.bincount(owner, over, len(y)))) if len(y) else np.zeros((0, 2))
     return Model(scores, rate, scale, logistic_fit(x, y))
 
 
