@@ -39,7 +39,8 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
             if batch.num_rows:
                 yield function(batch)
 
-    return df.mapInArrow(run, schema)
+    # by position: mapInArrow does not take every column name
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, schema)
 
 
 def text_digest(text: Column, lowered: bool = False) -> Column:

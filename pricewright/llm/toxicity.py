@@ -235,7 +235,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     names = [unique_name(docs, s) for s in ("toxic_score", "toxic_predicted", "toxic_passages")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text_col)
+    given = docs.columns
+    place = given.index(text_col)
     added = [StructField(n, t.dataType) for n, t in zip(names, StructType.fromDDL(f"a double, b int, c {PASSAGES}"))]
     schema = StructType([*docs.schema.fields, *added])
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
@@ -249,7 +250,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             chance = math.log(max(fitted.scale * n, 1e-9)) if n else 0.0
             passages.append([{"begin": int(starts[b]), "end": int(ends[e - 1]), "score": s} for b, e, s in segments if fitted.rate * s > chance])
         added = [pa.array(values, pa.float64()), pa.array([int(v >= 0.5) for v in values], pa.int32()), pa.array(passages, kind)]
-        return pa.RecordBatch.from_arrays(list(batch.columns) + added, [*batch.schema.names, *names])
+        return pa.RecordBatch.from_arrays(list(batch.columns) + added, [*given, *names])
 
     return map_batches(docs, scored, schema)
 
