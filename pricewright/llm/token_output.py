@@ -238,7 +238,7 @@ def read_parts(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, ids (with the end id) of every document, from the files."""
-    found = _documents(read_parts(spark, path, True), F.sort_array(F.collect_list(F.struct("begin", "ids"))).alias("listed"))
+    found = _documents(spark, path, read_parts(spark, path, True), F.sort_array(F.collect_list(F.struct("begin", "ids"))).alias("listed"))
     return found.select("doc_id", "start", F.flatten(F.transform("listed", lambda p: p["ids"])).alias("ids"))
 
 
@@ -246,16 +246,17 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of every document, from the files.
 
     The documents' parts combine on the map side; shards get their offsets from
-    one row each. Rows repeat as written, null ids stay null; texts without
+    one row each, taken from the stored parts without decoding again. Rows repeat as written, null ids stay null; texts without
     tokens have their end id; an empty table gives no rows.
     """
-    return _documents(read_parts(spark, path), F.bit_xor("crc").alias("ids_crc32")).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return _documents(spark, path, read_parts(spark, path), F.bit_xor("crc").alias("ids_crc32")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-def _documents(parts: DataFrame, *more) -> DataFrame:
+def _documents(spark: SparkSession, path: str, parts: DataFrame, *more) -> DataFrame:
     whole = parts.groupBy("shard", "row", "doc_id").agg(F.min("begin").alias("begin"), F.sum("count").alias("n_tokens"), *more)
-    # one row per shard
-    sizes = parts.groupBy("shard").agg(F.max(F.col("begin") + F.col("count")).alias("size"))
+    # one row per shard; the payload is not read for it
+    ends = F.array_max(F.transform("parts", lambda p: p["begin"] + p["count"]))
+    sizes = spark.read.schema(BLOCKS).parquet(path).groupBy("shard").agg(F.max(ends).alias("size"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("shard", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     return whole.join(F.broadcast(offsets), "shard").withColumn("start", F.col("offset") + F.col("begin"))
