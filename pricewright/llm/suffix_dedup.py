@@ -268,7 +268,7 @@ def covered_starts(texts: DataFrame, candidates: DataFrame, length: int) -> Data
     jobs = candidates.select("uid", "pos", F.col("dmin").cast("int").alias("low"), F.col("dmax").cast("int").alias("high"), F.lit(1).alias("weight"), F.lit(False).alias("done"))
     found = None
     kind = ["i1", "i2", "low", "high", "u1", "u2"]
-    for width in CELLS:
+    for width in CELLS[:-1]:
         rows = materialize(cell_rows(texts, jobs, length, width), f"cells-{width}")
         unions = rows.groupBy(*kind).agg(F.sum("weight").alias("n_union"), F.min("uid").alias("one"))
         cores = unions.groupBy("i1", "i2").agg(F.sum("n_union").alias("n_core"), F.max(F.col("n_union") == 1).alias("open"))
@@ -277,13 +277,22 @@ def covered_starts(texts: DataFrame, candidates: DataFrame, length: int) -> Data
         judged = materialize(
             judged.where(~F.col("done") & again | (F.col("n_core") > 1) & F.col("open")).select("uid", "pos", "low", "high", "done", again.alias("again"), "one", "open"), f"judged-{width}"
         )
-        settled = judged.where("again and not done").select("uid", (F.col("pos") - F.col("high")).alias("begin"), (F.col("pos") - F.col("low") + length).alias("end"))
+        settled = settled_bytes(judged.where("again and not done"), length)
         found = settled if found is None else found.unionByName(settled)
         # unsettled cells, and one member of each repeated union that they may match
         jobs = judged.where("open and (not again or uid = one)").select(
             "uid", "pos", "low", "high", F.when(F.col("again"), 2).otherwise(1).alias("weight"), (F.col("again") | F.col("done")).alias("done")
         )
-    return found
+    # a single start's common part is its union: its own count settles it
+    singles = materialize(cell_rows(texts, jobs, length, CELLS[-1]).select("uid", "pos", "low", "high", "weight", "done", "i1", "i2"), "starts")
+    twice = singles.groupBy("i1", "i2").agg(F.sum("weight").alias("n")).where("n > 1").select("i1", "i2")
+    settled = settled_bytes(singles.where("not done").select("uid", "pos", "low", "high", "i1", "i2").join(twice, ["i1", "i2"]), length)
+    return settled if found is None else found.unionByName(settled)
+
+
+def settled_bytes(cells: DataFrame, length: int) -> DataFrame:
+    """The bytes that the strings of covered cells cover."""
+    return cells.select("uid", (F.col("pos") - F.col("high")).alias("begin"), (F.col("pos") - F.col("low") + length).alias("end"))
 
 
 def removed_bytes(texts: DataFrame, covered: DataFrame) -> DataFrame:
