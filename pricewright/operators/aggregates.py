@@ -183,12 +183,49 @@ def trend_poly2(df: DataFrame, x: str, y: str, center: float = 0.0) -> DataFrame
 def rule_of_thumb_bandwidth(df: DataFrame, column: str) -> float:
     """1.06 min(sd, iqr / 1.34) n^(-1/5)."""
     n, sd = df.agg(F.count(column), F.stddev_samp(column)).first()
+    if n == 0:
+        raise ValueError(f"{column!r} has no values to take a bandwidth from")
     q = quantiles(df, [0.25, 0.75], column)
     spread = (q[0.75] - q[0.25]) / 1.34
-    width = min(sd, spread) or sd or abs(q[0.25]) or 1.0
+    width = min(sd or 0.0, spread) or sd or abs(q[0.25]) or 1.0
     return 1.06 * width * n**-0.2
 
 
+def group_bandwidths(counted: DataFrame, by: str) -> DataFrame:
+    """(by, __h): the rule of thumb for every group of (by, __v, __n) value counts at once.
+
+    Quartiles are read off running counts of the ordered values, so any number
+    of groups and any size of group takes the same few jobs. NULL is a group.
+    """
+    from pricewright.operators.windows import running
+
+    rows, mean = F.sum("__n"), F.sum(F.col("__v") * F.col("__n")) / F.sum("__n")
+    totals = counted.groupBy(F.col(by).alias("__by")).agg(rows.alias("__rows"), mean.alias("__mean"))
+    same = F.col(by).eqNullSafe(F.col("__by"))
+    upto = running(counted, [by], ["__v"], {"__upto": ("sum", F.col("__n"))}).join(totals, same)
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("__upto") > rank, F.col("__v")))
+
+    def quartile(q: float) -> tuple[Column, Column, Column]:
+        place = F.lit(q) * (F.col("__rows") - 1)
+        return at(F.floor(place)), at(F.ceil(place)), F.first(place - F.floor(place))
+
+    off = F.col("__v") - F.col("__mean")
+    ends = [c for q in (0.25, 0.75) for c in quartile(q)]
+    found = upto.groupBy(by).agg(
+        F.sum("__n").alias("__rows"),
+        F.sum(off * off * F.col("__n")).alias("__squares"),
+        *[c.alias(f"__e{k}") for k, c in enumerate(ends)],
+    )
+    low, high = (F.col(f"__e{k}") + F.col(f"__e{k + 2}") * (F.col(f"__e{k + 1}") - F.col(f"__e{k}")) for k in (0, 3))
+    sd = F.sqrt(F.try_divide(F.col("__squares"), F.col("__rows") - 1))
+    width = F.coalesce(
+        F.nullif(F.least(sd, (high - low) / 1.34), F.lit(0.0)), F.nullif(sd, F.lit(0.0)), F.nullif(F.abs(low), F.lit(0.0)), F.lit(1.0)
+    )
+    return found.select(by, (F.lit(1.06) * width * F.pow("__rows", F.lit(-0.2))).alias("__h"))
+
+
 def density(
     df: DataFrame, column: str, by: str, grid: list[float], bandwidth: float | dict[str, float] | None = None
 ) -> DataFrame:
@@ -197,21 +234,20 @@ def density(
     Equal values are counted first, so a hot value costs one evaluation per grid
     point; the evaluations are summed on the map side into groups x grid rows.
     """
-    if bandwidth is None:
-        groups = [r[0] for r in df.select(by).distinct().limit(51).collect()]
-        if len(groups) > 50:
-            raise ValueError("give the bandwidth when there are more than 50 groups")
-        bandwidth = {g: rule_of_thumb_bandwidth(df.where(F.col(by) == g), column) for g in groups}
-    if isinstance(bandwidth, dict):
-        width = F.create_map(*[F.lit(x) for pair in bandwidth.items() for x in pair])[F.col(by)]
-    else:
-        width = F.lit(float(bandwidth))
     counted = (
         df.where(F.col(column).isNotNull())
         .groupBy(by, F.col(column).cast("double").alias("__v"))
         .agg(F.count("*").alias("__n"))
-        .withColumn("__h", width)
     )
+    if bandwidth is None:
+        widths = group_bandwidths(counted, by).withColumnRenamed(by, "__by")
+        counted = counted.join(widths, F.col(by).eqNullSafe(F.col("__by"))).drop("__by")
+    elif isinstance(bandwidth, dict):
+        known = {g: h for g, h in bandwidth.items() if g is not None}
+        width = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])[F.col(by)] if known else F.lit(None).cast("double")
+        counted = counted.withColumn("__h", F.when(F.col(by).isNull(), F.lit(bandwidth.get(None))).otherwise(width))
+    else:
+        counted = counted.withColumn("__h", F.lit(float(bandwidth)))
     points = F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("__g")
     z = (F.col("__v") - F.col("__g")) / F.col("__h")
     kernel = F.exp(F.lit(-0.5) * z * z) * F.col("__n") / (F.col("__h") * F.lit(math.sqrt(2 * math.pi)))

@@ -153,3 +153,17 @@ def test_density_integrates_to_one(spark):
     df = spark.range(200).select(F.lit("x").alias("d"), (F.col("id") % 100).cast("double").alias("v"))
     rows = A.density(df, "v", "d", [float(g) for g in range(-100, 201, 2)]).collect()
     assert sum(r["density"] for r in rows) * 2 == pytest.approx(1, abs=0.01)
+
+
+def test_group_bandwidths_match_the_rule_per_group(spark):
+    rng = random.Random(5)
+    rows = [(g, float(rng.randint(0, 40))) for g in ("a", "b", None) for _ in range(57)] + [("one", 7.0), ("zero", 0.0), ("flat", 3.0), ("flat", 3.0)]
+    rows += [(f"g{k}", float(k + j)) for k in range(60) for j in range(3)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    counted = df.groupBy("g", F.col("v").alias("__v")).agg(F.count("*").alias("__n"))
+    found = {r["g"]: r["__h"] for r in A.group_bandwidths(counted, "g").collect()}
+    assert len(found) == 66
+    for group in (None, "a", "b", "one", "zero", "flat", "g7"):
+        assert found[group] == pytest.approx(A.rule_of_thumb_bandwidth(df.where(F.col("g").eqNullSafe(F.lit(group))), "v"))
+    dense = A.density(df, "v", "g", [0.0, 10.0])
+    assert dense.count() == 132 and dense.where("density is null").count() == 0
