@@ -30,6 +30,10 @@ TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 WORD = np.uint64(16)
 LIMIT = 1000
 EVENT_STEP = 24
+#: The three counts of a context lie in 16 bits each of one number.
+EVENT_BITS, EVENT_MASK = 16, 0xFFFF
+EVENT_START = 4 | 4 << EVENT_BITS | 8 << 2 * EVENT_BITS
+EVENT_HALVES, EVENT_ONES = 0x7FFF7FFF7FFF, 0x000100010001
 CLASSES, SHARE_BITS = 256, 11
 
 
@@ -39,26 +43,35 @@ class _Model:
     def __init__(self, lanes: int, bits: int, decoding: bool = False):
         self.decoding = decoding
         self.rest = max(0, bits - 8)
-        self.id1, self.sure1 = np.zeros(lanes * SLOTS1, np.int32), np.zeros(lanes * SLOTS1, np.int8)
-        self.id2, self.sure2 = np.zeros(lanes * SLOTS2, np.int32), np.zeros(lanes * SLOTS2, np.int8)
-        self.events = np.tile(np.array([4, 4, 8], np.int64), lanes * 32)
+        # a prediction and, in its last two bits, its confidence
+        self.known1, self.known2 = np.zeros(lanes * SLOTS1, np.int32), np.zeros(lanes * SLOTS2, np.int32)
+        self.events = np.full(lanes * 32, EVENT_START, np.int64)
         self.classes = np.zeros(lanes * CLASSES, np.int64)
         self.share(lanes)
         self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.lane = np.arange(lanes)
+        self.lanes = np.arange(lanes)
+        self.base1, self.base2, self.base = self.lanes * SLOTS1, self.lanes * SLOTS2, self.lanes * 32
 
     def predict(self, k: int):
         a, b = self.last1[:k], self.last2[:k]
-        self.at1 = self.lane[:k] * SLOTS1 + ((a * 40503 >> 5) & (SLOTS1 - 1))
-        self.at2 = self.lane[:k] * SLOTS2 + ((a * 2654435761 + b * 40503 >> 9) & (SLOTS2 - 1))
-        self.c1, self.n1 = self.id1[self.at1], self.sure1[self.at1]
-        self.c2, self.n2 = self.id2[self.at2], self.sure2[self.at2]
+        self.at1 = self.base1[:k] + ((a * 40503 >> 5) & (SLOTS1 - 1))
+        self.at2 = self.base2[:k] + ((a * 2654435761 + b * 40503 >> 9) & (SLOTS2 - 1))
+        self.p1, self.p2 = self.known1.take(self.at1), self.known2.take(self.at2)
+        self.n1, self.n2 = self.p1 & 3, self.p2 & 3
+        self.c1, self.c2 = self.p1 >> 2, self.p2 >> 2
         same = self.c1 == self.c2
-        self.context = self.lane[:k] * 32 + (self.n2 * 8 + self.n1 * 2 + same)
-        self.event_at = self.context * 3
-        self.first = self.events[self.event_at]
-        self.second = np.where(same, 0, self.events[self.event_at + 1])
-        self.total = self.first + self.second + self.events[self.event_at + 2]
+        self.context = self.base[:k] + (self.n2 * 8 + self.n1 * 2 + same)
+        self.counts = self.events.take(self.context)
+        self.first = self.counts & EVENT_MASK
+        self.upto2 = self.first + (self.counts >> EVENT_BITS & EVENT_MASK) * ~same
+        self.total = self.upto2 + (self.counts >> 2 * EVENT_BITS)
+
+    def narrow(self, low: np.ndarray, size: np.ndarray, r: np.ndarray, event: np.ndarray) -> None:
+        """Go on to the share of the event in a range of ``total`` parts of ``r``."""
+        start = np.where(event == 2, self.upto2, self.first * event)
+        width = self.counts >> EVENT_BITS * event & EVENT_MASK
+        low += r * start.view(np.uint64)
+        np.multiply(r, width.view(np.uint64), out=size)
 
     def share(self, lanes: int) -> None:
         """Turn the counts of classes into shares of 2 ** SHARE_BITS, one at least."""
@@ -76,14 +89,11 @@ class _Model:
             self.share(lanes)
 
     def learn(self, k: int, ids: np.ndarray, event: np.ndarray):
-        self.events[self.event_at + event] += EVENT_STEP
-        full = self.event_at[self.total > LIMIT]
-        for k3 in range(3 if len(full) else 0):
-            self.events[full + k3] = (self.events[full + k3] >> 1) | 1
-        for at, known, sure, c, n in ((self.at1, self.id1, self.sure1, self.c1, self.n1), (self.at2, self.id2, self.sure2, self.c2, self.n2)):
-            hit = c == ids
-            sure[at] = np.where(hit, np.minimum(n + 1, 3), np.maximum(n - 1, 0))
-            known[at] = np.where(hit | (n > 0), c, ids)
+        counts = self.counts + (EVENT_STEP << EVENT_BITS * event)
+        self.events[self.context] = np.where(self.total > LIMIT, counts >> 1 & EVENT_HALVES | EVENT_ONES, counts)
+        anew = ids << 2
+        for at, known, p, c, n in ((self.at1, self.known1, self.p1, self.c1, self.n1), (self.at2, self.known2, self.p2, self.c2, self.n2)):
+            known[at] = np.where(c == ids, p + (n < 3), np.where(n > 0, p - 1, anew))
         self.last2[:k] = self.last1[:k]
         self.last1[:k] = ids
 
@@ -95,7 +105,7 @@ def encode_blocks(blocks: list[np.ndarray], bits: int) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda b: -len(blocks[b]))
     lengths = np.array([len(blocks[b]) for b in order])
     steps, lanes = int(lengths[0]), len(blocks)
-    ids = np.zeros((steps, lanes), np.int64)
+    ids = np.zeros((steps, lanes), np.int32)
     for lane, b in enumerate(order):
         ids[: lengths[lane], lane] = blocks[b]
     model = _Model(lanes, bits)
@@ -104,24 +114,20 @@ def encode_blocks(blocks: list[np.ndarray], bits: int) -> list[bytes]:
     width_words = 3 * steps + 8
     words, used = np.zeros(lanes * width_words, "<u2"), np.arange(lanes) * width_words
 
-    def emit(rows: np.ndarray) -> None:
-        while len(rows):
-            a, r = low[rows], size[rows]
+    def emit(k: int) -> None:
+        a, r, rows = low[:k], size[:k], model.lanes[:k]
+        while True:
             settled = (a ^ (a + r)) < TOP
-            tight = ~settled & (r < BOTTOM)
-            go = settled | tight
-            if not go.any():
+            go = np.flatnonzero(settled | (r < BOTTOM))
+            if not len(go):
                 return
-            r = np.where(tight, (np.uint64(0) - a) & (BOTTOM - np.uint64(1)), r)[go]
             a, rows = a[go], rows[go]
-            words[used[rows]] = a >> np.uint64(48)
-            used[rows] += 1
-            low[rows], size[rows] = a << WORD, r << WORD
-
-    def put(rows, start, width, total) -> None:
-        r = size[rows] // total.astype(np.uint64)
-        low[rows] += r * start.astype(np.uint64)
-        size[rows] = r * width.astype(np.uint64)
+            r = np.where(settled[go], r[go], (np.uint64(0) - a) & (BOTTOM - np.uint64(1))) << WORD
+            at = used[rows]
+            words[at] = a >> np.uint64(48)
+            used[rows] = at + 1
+            a = a << WORD
+            low[rows], size[rows] = a, r
 
     active = np.searchsorted(-lengths, -np.arange(steps), side="left")
     for t in range(steps):
@@ -129,11 +135,8 @@ def encode_blocks(blocks: list[np.ndarray], bits: int) -> list[bytes]:
         x = ids[t, :k]
         model.due(t, k)
         model.predict(k)
-        event = np.where(x == model.c2, 0, np.where(x == model.c1, 1, 2))
-        start = np.where(event == 0, 0, np.where(event == 1, model.first, model.first + model.second))
-        width = np.where(event == 0, model.first, np.where(event == 1, model.second, model.total - model.first - model.second))
-        rows = model.lane[:k]
-        put(rows, start, width, model.total)
+        event = np.where(x == model.c2, 0, 2 - (x == model.c1))
+        model.narrow(low[:k], size[:k], size[:k] // model.total.view(np.uint64), event)
         plain = np.flatnonzero(event == 2)
         if len(plain):
             # 10 bits of event, 11 of class and the rest fit into the 32 that a size has at least
@@ -147,7 +150,7 @@ def encode_blocks(blocks: list[np.ndarray], bits: int) -> list[bytes]:
             r = r * (model.upto[at + 1] - begin).astype(np.uint64) >> np.uint64(model.rest)
             low[plain] = a + r * (y & rest_mask).astype(np.uint64)
             size[plain] = r
-        emit(rows)
+        emit(k)
         model.learn(k, x, event)
     out: list[bytes] = [b""] * lanes
     for lane, b in enumerate(order):
@@ -181,40 +184,34 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     for s in range(4):
         code = code << WORD | words[first_word + s].astype(np.uint64)
     used, last_word = first_word + 4, first_word + width_words - 1
-    ids = np.zeros((steps, lanes), np.int64)
+    ids = np.zeros((steps, lanes), np.int32)
 
-    def refill(rows: np.ndarray) -> None:
-        while len(rows):
-            a, r = low[rows], size[rows]
+    def refill(k: int) -> None:
+        a, r, rows = low[:k], size[:k], model.lanes[:k]
+        while True:
             settled = (a ^ (a + r)) < TOP
-            tight = ~settled & (r < BOTTOM)
-            go = settled | tight
-            if not go.any():
+            go = np.flatnonzero(settled | (r < BOTTOM))
+            if not len(go):
                 return
-            r = np.where(tight, (np.uint64(0) - a) & (BOTTOM - np.uint64(1)), r)[go]
             a, rows = a[go], rows[go]
-            code[rows] = code[rows] << WORD | words[np.minimum(used[rows], last_word[rows])].astype(np.uint64)
-            used[rows] += 1
-            low[rows], size[rows] = a << WORD, r << WORD
-
-    def take(rows, r, start, width) -> None:
-        low[rows] += r * start.astype(np.uint64)
-        size[rows] = r * width.astype(np.uint64)
+            r = np.where(settled[go], r[go], (np.uint64(0) - a) & (BOTTOM - np.uint64(1))) << WORD
+            at = used[rows]
+            code[rows] = code[rows] << WORD | words[np.minimum(at, last_word[rows])]
+            used[rows] = at + 1
+            a = a << WORD
+            low[rows], size[rows] = a, r
 
     active = np.searchsorted(-lengths, -np.arange(steps), side="left")
     for t in range(steps):
         k = int(active[t])
-        rows = model.lane[:k]
         model.due(t, k)
         model.predict(k)
-        total = model.total.astype(np.uint64)
+        total = model.total.view(np.uint64)
         r = size[:k] // total
-        at = np.minimum((code[:k] - low[:k]) // r, total - np.uint64(1)).astype(np.int64)
-        event = (at >= model.first).astype(np.int64) + (at >= model.first + model.second)
-        start = np.where(event == 0, 0, np.where(event == 1, model.first, model.first + model.second))
-        width = np.where(event == 0, model.first, np.where(event == 1, model.second, model.total - model.first - model.second))
-        take(rows, r, start, width)
-        x = np.where(event == 0, model.c2, model.c1).astype(np.int64)
+        at = np.minimum((code[:k] - low[:k]) // r, total - np.uint64(1)).view(np.int64)
+        event = (at >= model.first).astype(np.int64) + (at >= model.upto2)
+        model.narrow(low[:k], size[:k], r, event)
+        x = np.where(event == 0, model.c2, model.c1)
         plain = np.flatnonzero(event == 2)
         if len(plain):
             a = low[plain]
@@ -231,7 +228,7 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
             low[plain] = a + skipped + r * tail
             size[plain] = r
             x[plain] = kind << model.rest | tail.astype(np.int64)
-        refill(rows)
+        refill(k)
         model.learn(k, x, event)
         ids[t, :k] = x
     out: list[np.ndarray] = [np.zeros(0, "<u4")] * lanes
