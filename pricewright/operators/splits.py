@@ -38,7 +38,11 @@ def split_exact(
     seed: int = 42,
     exact_rows: int = EXACT_ROWS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Parts of exactly the asked sizes: cut at order statistics of the key hash."""
+    """Parts of exactly the asked sizes: cut at order statistics of the key hash.
+
+    Rows of one key have one hash and stay in one part, so sizes are exact for
+    unique keys and off by at most the rows of the key at each cut otherwise.
+    """
     u = hash_share(F.col(key), seed, 13)
     values = df.select(u.alias("v"))
     n = values.count()

@@ -162,7 +162,7 @@ def mean_price_interval(t):
 @query("bootstrap_price_interval_by_photos", "AGG8")
 def bootstrap_price_interval(t):
     rows = t.listings("n_photos", "sold_price", "id", "parsing_date")
-    return A.mean_ci_bootstrap(rows, "n_photos", F.concat_ws("|", "id", "parsing_date", "sold_price"), replicates=40)
+    return A.mean_ci_bootstrap(rows, "n_photos", F.concat_ws("|", "id", "parsing_date", "sold_price"), replicates=100)
 
 
 @query(

@@ -105,7 +105,7 @@ def price_by_word_count(t):
          SELECT 1 AS n, unnest(t) AS value FROM d
          UNION ALL SELECT 2, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM d
          UNION ALL SELECT 3, unnest(list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) FROM d)
-       GROUP BY ALL HAVING count > 1""",
+       GROUP BY ALL""",
 )
 def document_ngrams(t):
     tokens = t.documents().select(X.clean_tokens(F.col("text"), "alpha").alias("t"))
@@ -113,7 +113,7 @@ def document_ngrams(t):
         F.array(*[F.struct(F.lit(n).alias("ngram"), X.ngrams(F.col("t"), n).alias("v")) for n in (1, 2, 3)])
     )
     values = R.explode_list(tokens.select(kinds.alias("k")).select("k.ngram", "k.v"), "v").where(F.col("value").isNotNull())
-    return values.groupBy("ngram", "value").agg(F.count("*").alias("count")).where(F.col("count") > 1)
+    return values.groupBy("ngram", "value").agg(F.count("*").alias("count"))
 
 
 _NGRAMS_SQL = """

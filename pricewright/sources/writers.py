@@ -29,16 +29,32 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def append_batch(new: DataFrame, path: str, key: str | None = None, partition_by: str | None = None) -> bool:
+def one_per_key(df: DataFrame, key: str, first_by: str | None = None) -> DataFrame:
+    """One defined row per key: the least by ``first_by``, then by all columns in order.
+
+    Rows of a key combine on the map side, so a hot key sends one row per task.
+    """
+    rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.dropDuplicates([key])
+    lead = [first_by] if first_by in rest else []
+    ordered = F.struct(*lead, *[c for c in rest if c not in lead])
+    return df.groupBy(key).agg(F.min(ordered).alias("__row")).select(*[key if c == key else F.col("__row")[c].alias(c) for c in df.columns])
+
+
+def append_batch(
+    new: DataFrame, path: str, key: str | None = None, partition_by: str | None = None, first_by: str | None = "parsing_date"
+) -> bool:
     """Append a batch to a table, creating it when absent; an empty batch writes nothing.
 
     Only the batch is written: the stored table is never read back and rewritten.
     With ``key`` the ids already stored (and repeats inside the batch) are left
-    out. Returns whether something was written.
+    out; of rows with one id in a batch the earliest collected stays. Returns
+    whether something was written.
     """
     spark = new.sparkSession
     if key is not None:
-        new = new.dropDuplicates([key])
+        new = one_per_key(new, key, first_by)
         if path_exists(spark, path):
             new = only_new(new, spark.read.parquet(path), key)
     new = new.persist()
