@@ -149,3 +149,12 @@ def test_ingest_stream_keeps_late_files(spark, tmp_path):
     stored = spark.read.parquet(out)
     assert stored.select("id").distinct().count() == stored.count() == 37
     assert stored.select("batch").distinct().count() == 4
+
+
+def test_one_per_key_keeps_the_earliest_row(spark):
+    rows = spark.createDataFrame(
+        [("a", "z", 3), ("a", "y", 2), ("a", "x", 2), ("b", None, 1), (None, "n", 5), (None, "m", 5)], "id string, title string, parsing_date int"
+    )
+    kept = {tuple(r) for r in writers.one_per_key(rows, "id", "parsing_date").collect()}
+    assert kept == {("a", "x", 2), ("b", None, 1), (None, "m", 5)}
+    assert writers.one_per_key(rows.select("id"), "id").count() == 3

@@ -31,9 +31,9 @@ def listings(spark):
 
 
 def test_unknown_estimator_and_no_features():
-    with pytest.raises(ValueError, match="not supported"):
+    with pytest.raises(ValueError, match="unknown estimator_class"):
         PriceModel("m", "nothing")
-    with pytest.raises(ValueError, match="At least one"):
+    with pytest.raises(ValueError, match="tabular features, text features or both"):
         PriceModel("m", use_tab_features=False, use_text_features=False)
 
 
