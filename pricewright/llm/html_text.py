@@ -41,6 +41,8 @@ CLOSES: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "body": (frozenset(("head",)), frozenset(("html",))),
 }
 SCOPES = frozenset(("table", "td", "th", "caption", "button", "html"))
+#: Start tags that may stand in a head; any other one, or text, ends it.
+HEAD = frozenset("base link meta title style script noscript template".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|</(?P<end>[A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
@@ -94,7 +96,13 @@ def parse(page: str) -> Node:
                 del stack[deeper:]
                 return
 
+    def leave_head() -> None:
+        if stack[-1].name == "head":
+            stack.pop()
+
     def add_text(text: str) -> None:
+        if text.strip(" \t\n\r\f"):
+            leave_head()
         if text:
             stack[-1].children.append(text)
 
@@ -112,6 +120,8 @@ def parse(page: str) -> Node:
                 close(frozenset(("p",)), SCOPES)
             if name == "html":
                 continue
+            if name not in HEAD:
+                leave_head()
             if name in CLOSES:
                 close(*CLOSES[name])
             if name in ("td", "th") and stack[-1].name in ("table", "thead", "tbody", "tfoot"):
@@ -137,6 +147,7 @@ def parse(page: str) -> Node:
                     break  # an end tag inside a cell does not close what is around the table
             else:
                 if name == "br":
+                    leave_head()
                     _child(stack[-1], Node("br"))
     return root
 

@@ -100,3 +100,16 @@ def test_boundaries_have_least_padding():
 )
 def test_rendering(page, text):
     assert visible_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<html><head><title>T</title><h1>A</h1><p>B", "A\n\nB"),
+        ("<head><meta name=a><link rel=b> <style>c</style>\nword<title>T</title> more", "word more"),
+        ("<head><noscript><p>no</p></noscript><template><b>no</b></template><script>no</script><div>a</div>", "a"),
+        ("<head></br>a", "a"),
+    ],
+)
+def test_head_without_end_tag(page, text):
+    assert visible_text(page) == text
