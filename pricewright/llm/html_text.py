@@ -44,11 +44,16 @@ SCOPES = frozenset(("table", "td", "th", "caption", "button", "html"))
 #: Start tags that may stand in a head; any other one, or text, ends it.
 HEAD = frozenset("base link meta title style script noscript template".split())
 
+# A quote opens a value only after = and blanks; any other quote is a plain character.
+_NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
+_EQUALS = r"[ \t\n\r\f]*+=[ \t\n\r\f]*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|</(?P<end>[A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
+    r"<!--.*?(?:--!?>|\Z)|<(?P<name>[A-Za-z][^\s/>]*)"
+    rf"(?P<attributes>(?:[ \t\n\r\f/]++|{_NAME}(?:{_EQUALS}(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^ \t\n\r\f>]++)?+)?+)*+)(?:>|\Z)"
+    r"|</(?P<end>[A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+ATTRIBUTE = re.compile(rf"({_NAME})(?:{_EQUALS}(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^ \t\n\r\f>]++))?+)?+")
 UNSEEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 SPACES = re.compile(r"[ \t\n\r\f]+")
 

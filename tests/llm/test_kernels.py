@@ -113,3 +113,19 @@ def test_rendering(page, text):
 )
 def test_head_without_end_tag(page, text):
     assert visible_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p class=don't>Hello", "Hello"),
+        ('<img alt="5" screen">Hello', "Hello"),
+        ('<a href=/search?q="x>Hello</a> "you"', 'Hello "you"'),
+        ("<p 'a' b\">Hello <i title = 'a > b'>you</i>", "Hello you"),
+        ('<p a="1"b=\'>\'c="x>y">Hello', "Hello"),
+        ("<p class=don't hidden>no<p =\">yes", "yes"),
+        ("<p title=>Hello<p title= >you", "Hello\n\nyou"),
+    ],
+)
+def test_quotes_in_tags(page, text):
+    assert visible_text(page) == text
