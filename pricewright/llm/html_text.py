@@ -41,6 +41,7 @@ CLOSES: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "body": (frozenset(("head",)), frozenset(("html",))),
 }
 SCOPES = frozenset(("table", "td", "th", "caption", "button", "html"))
+ROW_LIMITS = frozenset(("table", "thead", "tbody", "tfoot", "td", "th", "caption"))
 #: Start tags that may stand in a head; any other one, or text, ends it.
 HEAD = frozenset("base link meta title style script noscript template".split())
 
@@ -101,6 +102,15 @@ def parse(page: str) -> Node:
                 del stack[deeper:]
                 return
 
+    def back_to_row() -> None:
+        # forms and inline elements opened in a row hold no cells
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k].name == "tr":
+                del stack[k + 1 :]
+                return
+            if stack[k].name in HIDDEN or stack[k].name in ROW_LIMITS:
+                return
+
     def leave_head() -> None:
         if stack[-1].name == "head":
             stack.pop()
@@ -129,6 +139,8 @@ def parse(page: str) -> Node:
                 leave_head()
             if name in CLOSES:
                 close(*CLOSES[name])
+            if name in ("td", "th"):
+                back_to_row()
             if name in ("td", "th") and stack[-1].name in ("table", "thead", "tbody", "tfoot"):
                 stack.append(_child(stack[-1], Node("tr")))
             start = marks.get("start", "1")
@@ -246,7 +258,7 @@ def layout(node: Node, kept: bool = False) -> list[str]:
             continue
         frames.pop()
         if not frames:
-            return out.done()
+            return out.done() + table_lines(rows)
         parent = frames[-1]
         into: _Lines = parent[2]
         if here.name not in BLOCKS:
@@ -259,9 +271,12 @@ def layout(node: Node, kept: bool = False) -> list[str]:
             else:
                 into.block(out.done())
         elif here.name == "tr":
-            cells = rows if rows else ([out.done()] if out.done() else [])
-            if cells:
-                parent[4].append(cells)
+            lines = out.done()
+            if rows:  # what stands beside the cells goes before the table, as in a browser
+                into.block(lines)
+                parent[4].append(rows)
+            elif lines:
+                parent[4].append([lines])
         elif here.name in ("thead", "tbody", "tfoot"):
             into.block(out.done())
             parent[4].extend(rows)

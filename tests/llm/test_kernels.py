@@ -129,3 +129,20 @@ def test_head_without_end_tag(page, text):
 )
 def test_quotes_in_tags(page, text):
     assert visible_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<table><tr><form><td>a</td></form><td>b</td></tr></table>", "a  b"),
+        ("<table><tr><a><td>a</td></a><td>b</td></table>", "a  b"),
+        ("<table><tr>note<td>x<tr><td>y</table>", "note\nx\ny"),
+        ("<table><tbody><tr><td>a</td><p>p</p><i>i</i><tr><td>b</table>c", "p\n\ni\na\nb\n\nc"),
+        ("<table><tr><form><input></form>only</table>", "only"),
+        ("<table><tr><noscript><td>no</td></noscript><td>b</table>", "b"),
+        ("<table><tr><td><table><tr><b><td>in</td></b></table><td>b</table>", "in  b"),
+        ("<tr><td>a<td>b</tr>", "a  b"),
+    ],
+)
+def test_rows_keep_everything(page, text):
+    assert visible_text(page) == text
