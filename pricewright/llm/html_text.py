@@ -21,7 +21,20 @@ from pricewright.llm.tables import column, map_batches
 # Element names of the HTML standard by their role in a tree.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes title datalist object svg math canvas audio video select".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes title datalist object canvas audio video".split())
+#: In a drawing only text elements show, and not where they are only defined; in a formula not the notes on it.
+HIDDEN_FOREIGN = {
+    "svg": HIDDEN | frozenset("desc metadata defs symbol marker clippath mask pattern".split()),
+    "math": HIDDEN | frozenset("annotation annotation-xml mphantom".split()),
+}
+#: Elements of drawings and formulas with HTML inside, start tags of HTML that end a drawing or formula, and those that end a select.
+HTML_INSIDE = {"svg": frozenset("foreignobject desc title".split()), "math": frozenset("mi mo mn ms mtext annotation-xml".split())}
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+ENDS_SELECT = frozenset("input textarea select caption table tbody tfoot thead tr td th".split())
+#: Parts of formulas and drawings that stand apart: a blank goes before each.
+APART = {"svg": frozenset(("text",)), "math": frozenset(("mtr", "mtd"))}
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure".split())
 BLOCKS = PARAGRAPHS | frozenset(
     "html body div section article aside header footer nav main address form fieldset details summary figcaption hr li dt dd tr td th thead tbody tfoot caption center legend".split()
@@ -38,9 +51,11 @@ CLOSES: dict[str, tuple[frozenset[str], frozenset[str]]] = {
     "tbody": (frozenset(("thead", "tbody", "tfoot", "tr", "td", "th", "caption")), frozenset(("table",))),
     "tfoot": (frozenset(("thead", "tbody", "tfoot", "tr", "td", "th", "caption")), frozenset(("table",))),
     "option": (frozenset(("option",)), frozenset(("select",))),
+    "optgroup": (frozenset(("option", "optgroup")), frozenset(("select",))),
+    "hr": (frozenset(("option", "optgroup")), frozenset(("select",))),
     "body": (frozenset(("head",)), frozenset(("html",))),
 }
-SCOPES = frozenset(("table", "td", "th", "caption", "button", "html"))
+SCOPES = frozenset(("table", "td", "th", "caption", "button", "html", "foreignobject"))
 ROW_LIMITS = frozenset(("table", "thead", "tbody", "tfoot", "td", "th", "caption"))
 #: Start tags that may stand in a head; any other one, or text, ends it.
 HEAD = frozenset("base link meta title style script noscript template".split())
@@ -59,26 +74,41 @@ UNSEEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
+NO_MARKS: dict[str, str] = {}
+
+
 class Node:
-    __slots__ = ("children", "name", "start", "unseen")
+    __slots__ = ("children", "foreign", "marks", "mute", "name", "start", "unseen")
 
     def __init__(self, name: str, unseen: bool = False, start: int = 1):
         self.name, self.unseen, self.start = name, unseen, start
+        self.foreign: str | None = None  # svg or math, for elements of these
+        self.mute = False  # text directly inside does not show
+        self.marks = NO_MARKS  # kept for select, optgroup and option only
         self.children: list[Node | str] = []
 
 
-def attributes(raw: str) -> dict[str, str]:
+def attributes(raw: str) -> tuple[dict[str, str], bool]:
+    """Attributes of a tag, and whether it ends in a slash that belongs to no value."""
     found: dict[str, str] = {}
+    end = 0
     for m in ATTRIBUTE.finditer(raw):
         found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
-    return found
-
-
-def is_unseen(name: str, marks: dict[str, str]) -> bool:
+        end = m.end()
+    return found, raw.endswith("/") and end < len(raw)
+
+
+def is_unseen(name: str, marks: dict[str, str], foreign: str | None = None) -> bool:
+    if foreign:
+        return (
+            name in HIDDEN_FOREIGN[foreign]
+            or marks.get("display", "").strip() == "none"
+            or marks.get("visibility", "").strip() in ("hidden", "collapse")
+            or bool(UNSEEN_STYLE.search(marks.get("style", "")))
+        )
     return (
         name in HIDDEN
         or "hidden" in marks
-        or marks.get("aria-hidden", "").strip().lower() == "true"
         or name == "input"
         or name == "dialog" and "open" not in marks
         or bool(UNSEEN_STYLE.search(marks.get("style", "")))
@@ -89,27 +119,29 @@ def parse(page: str) -> Node:
     """Tree of a page; never fails, whatever the markup."""
     root = Node("html")
     stack = [root]
+    selects: list[Node] = []
 
-    def close(names: frozenset[str], limits: frozenset[str]) -> None:
+    def close(names: frozenset[str], limits: frozenset[str]) -> bool:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].name in limits:
-                return
+                return False
             if stack[k].name in names:
                 # the outermost one to close may lie further out
                 deeper = k
                 while deeper > 1 and stack[deeper - 1].name in names:
                     deeper -= 1
                 del stack[deeper:]
-                return
+                return True
+        return False
 
     def back_to_row() -> None:
         # forms and inline elements opened in a row hold no cells
         for k in range(len(stack) - 1, 0, -1):
+            if stack[k].name in HIDDEN or stack[k].name in ROW_LIMITS or stack[k].foreign:
+                return
             if stack[k].name == "tr":
                 del stack[k + 1 :]
                 return
-            if stack[k].name in HIDDEN or stack[k].name in ROW_LIMITS:
-                return
 
     def leave_head() -> None:
         if stack[-1].name == "head":
@@ -118,7 +150,7 @@ def parse(page: str) -> Node:
     def add_text(text: str) -> None:
         if text.strip(" \t\n\r\f"):
             leave_head()
-        if text:
+        if text and not stack[-1].mute:
             stack[-1].children.append(text)
 
     at = 0
@@ -130,7 +162,27 @@ def parse(page: str) -> Node:
         add_text(html.unescape(page[at : m.start()]))
         at = max(m.end(), m.start() + 1)
         if m["name"]:
-            name, marks = m["name"].lower(), attributes(m["attributes"] or "")
+            name, (marks, closed) = m["name"].lower(), attributes(m["attributes"] or "")
+            if name in BREAKS_OUT or name == "font" and marks.keys() & {"color", "face", "size"}:
+                while holds_foreign(stack[-1]):
+                    stack.pop()
+            foreign = name if name in ("svg", "math") else stack[-1].foreign if holds_foreign(stack[-1]) else None
+            if foreign:
+                leave_head()
+                inside = stack[-1]
+                if name in APART[foreign] or inside.name == "mfrac" or name == "tspan" and "x" in marks:
+                    inside.children.append(" ")
+                node = _child(stack[-1], Node(name, is_unseen(name, marks, foreign)))
+                node.foreign = foreign
+                node.mute = foreign == "svg" and name not in ("text", "foreignobject") and (name == "svg" or inside.mute)
+                if not closed:
+                    stack.append(node)
+                continue
+            if selects and name in ENDS_SELECT:
+                before = len(stack)
+                close(frozenset(("select",)), SCOPES)
+                if name == "select" and len(stack) < before:
+                    continue
             if name in BLOCKS and name not in ("td", "th", "tr", "caption", "thead", "tbody", "tfoot"):
                 close(frozenset(("p",)), SCOPES)
             if name == "html":
@@ -138,14 +190,19 @@ def parse(page: str) -> Node:
             if name not in HEAD:
                 leave_head()
             if name in CLOSES:
-                close(*CLOSES[name])
+                while close(*CLOSES[name]) and name in ("tr", "thead", "tbody", "tfoot"):
+                    pass  # a row or part of a table is never inside another row of it
             if name in ("td", "th"):
                 back_to_row()
             if name in ("td", "th") and stack[-1].name in ("table", "thead", "tbody", "tfoot"):
                 stack.append(_child(stack[-1], Node("tr")))
             start = marks.get("start", "1")
             node = _child(stack[-1], Node(name, is_unseen(name, marks), int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1))
-            if name in VOID or (m["attributes"] or "").endswith("/") and name in ("path", "rect", "circle", "use", "line"):
+            if name in ("select", "optgroup", "option"):
+                node.marks = marks
+                if name == "select":
+                    selects.append(node)
+            if name in VOID:
                 continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
@@ -166,9 +223,50 @@ def parse(page: str) -> Node:
                 if name == "br":
                     leave_head()
                     _child(stack[-1], Node("br"))
+        elif holds_foreign(stack[-1]) and page.startswith("<![CDATA[", m.start()):
+            end = page.find("]]>", m.start())
+            add_text(page[m.start() + 9 : end if end >= 0 else len(page)])
+            at = end + 3 if end >= 0 else len(page)
+    for select in selects:
+        show_options(select)
     return root
 
 
+def holds_foreign(node: Node) -> bool:
+    """Whether a tag inside belongs to a drawing or formula."""
+    return bool(node.foreign) and node.name not in HTML_INSIDE[node.foreign]
+
+
+def show_options(select: Node) -> None:
+    """Leave in a select what it shows: the chosen option, or in a list box all of them."""
+    size = select.marks.get("size", "").strip()
+    box = "multiple" in select.marks or re.fullmatch(r"[0-9]{1,9}", size) is not None and int(size) > 1
+    options: list[tuple[Node, bool]] = []  # with: may be chosen
+    shown: list[Node | str] = []
+    todo = [(c, False, False) for c in reversed(select.children)]
+    while todo:
+        node, disabled, unseen = todo.pop()
+        if isinstance(node, str):
+            continue
+        disabled, unseen = disabled or "disabled" in node.marks, unseen or node.unseen
+        if node.name == "option":
+            if node.marks.get("label"):
+                node.children = [node.marks["label"]]
+            options.append((node, not disabled))
+            if box and not unseen:
+                shown += [" ", node, " "]
+            continue
+        if box and not unseen and node.marks.get("label"):
+            shown += [" ", node.marks["label"], " "]
+        todo += [(c, disabled, unseen) for c in reversed(node.children)]
+    if not box:
+        chosen = [n for n, _ in options if "selected" in n.marks][-1:] or [n for n, free in options if free][:1]
+        for node in chosen:  # shows in the closed box, even if hidden in the open list
+            node.unseen = False
+            shown += [" ", node, " "]
+    select.children = shown
+
+
 def _child(parent: Node, node: Node) -> Node:
     parent.children.append(node)
     return node
@@ -249,7 +347,7 @@ def layout(node: Node, kept: bool = False) -> list[str]:
                 out.open = ""
             elif child.name == "hr":
                 out.blank()
-            elif child.name in BLOCKS:
+            elif child.name in BLOCKS and not child.foreign:
                 frames.append([child, 0, _Lines(), child.start, [], pre or child.name == "pre"])
             else:  # inline: its content flows on in the same lines
                 if child.name == "q":
@@ -261,7 +359,7 @@ def layout(node: Node, kept: bool = False) -> list[str]:
             return out.done() + table_lines(rows)
         parent = frames[-1]
         into: _Lines = parent[2]
-        if here.name not in BLOCKS:
+        if here.foreign or here.name not in BLOCKS:
             if here.name == "q":
                 into.text('"', pre)
             continue

@@ -146,3 +146,30 @@ def test_quotes_in_tags(page, text):
 )
 def test_rows_keep_everything(page, text):
     assert visible_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p>if <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> then", "if x= 1 2 then"),
+        ("<math><semantics><mi>y</mi><annotation>no</annotation></semantics></math>z", "yz"),
+        ("<svg><title>no</title>no<g><text>A<tspan>b</tspan></text><text>C</text></g><defs><text>no</text></defs></svg> d", "Ab C d"),
+        ("<svg><foreignObject><p>a</p></foreignObject><style>no</style><path d='M'/></svg>b", "a\n\nb"),
+        ("a<svg width=5 /> b <math/>c<div>d</div>", "a b c\nd"),
+        ("<svg><title/><circle/><text><![CDATA[a > b]]></text></svg> c", "a > b c"),
+        ("<svg><path d=''><p>a", "a"),
+        ("<svg width=5/><text>a</text></svg>b", "ab"),
+        ("<span aria-hidden=true>a</span>b", "ab"),
+        ("size <select><option>S<option selected>M<option>L</select> left", "size M left"),
+        ("<select><option disabled>no<option>S<option>M</select>", "S"),
+        ("<select><option selected disabled hidden>Choose<option>S</select>", "Choose"),
+        ("<select multiple><optgroup label=g><option>S<optgroup label=h><option label=Mm>M</select>", "g S h Mm"),
+        ("<select><option>S<input>a<select hidden><option>no</select>b", "S ab"),
+        ("<table><tr><td><select><option>S<td>b</table>", "S  b"),
+        ("<select></select>a", "a"),
+        ("<tr>a<math><tr>b</tr></math>", "ab"),
+        ("<table><tr>a<u><caption>b<tr><td>c</table>", "a\nb\nc"),
+    ],
+)
+def test_visibility(page, text):
+    assert visible_text(page) == text
