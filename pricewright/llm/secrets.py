@@ -3,12 +3,12 @@
 Spans are (kind, start, end) in code points, end exclusive.
 
 * ``assign``, ``access``, ``hex``: leftmost non-overlapping matches of fixed forms.
-* ``entropy``: candidate strings (runs of ``[A-Za-z0-9+/_=-]`` of ``WINDOW`` or
-  more characters with a digit) are scanned by a window of ``WINDOW`` characters.
-  Its Shannon entropy follows from per-character counts that each step changes
-  by one in and one out. The threshold depends on the candidate's character
-  class. Windows above it are merged into spans. Candidates that match an
-  allow-list pattern are suppressed.
+* ``entropy``: in candidate strings (runs of ``[A-Za-z0-9+/_=-]`` of ``WINDOW`` or
+  more characters) the longest runs of each character class are scanned by a window
+  of ``WINDOW`` characters. Its Shannon entropy follows from per-character counts
+  that each step changes by one in and one out. The threshold is that of the class.
+  Windows above it are merged into spans, and spans that match an allow-list
+  pattern are suppressed. Spans of several classes that overlap are merged.
 """
 
 from __future__ import annotations
@@ -29,16 +29,23 @@ HEX = r"[0-9a-f]+"
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
 WINDOW = 20
-#: Bits per character above which a window counts, by character class of its candidate.
-HIGH_BITS = (("hex", r"^[0-9a-fA-F]+$", 3.2), ("lower", r"^[0-9a-z]+$", 3.7), ("mixed", r"", 3.9))
-#: Candidates that are no secrets: numbers and dates, UUIDs, words joined by signs, placeholders.
+#: Runs of each character class and the bits per character above which a window counts. In the last two classes,
+#: whose alphabet joins words, a run that is an allowed string as a whole is not scanned.
+CLASSES = (
+    (r"[0-9a-fA-F]{20,}", 3.2, False),
+    (r"(?<![0-9a-z])(?=[a-z]*[0-9])[0-9a-z]{20,}", 3.7, False),
+    (r"[A-Za-z0-9]{20,}", 3.9, False),
+    (r"[A-Za-z0-9+/_-]{20,}={0,2}", 3.9, True),
+    (r"[A-Za-z0-9+/_=-]{20,}", 3.9, True),
+)
+#: Spans that are no secrets: numbers and dates, UUIDs, words joined by signs, placeholders.
 ALLOWED = (
     r"^[0-9+/_=-]+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[A-Za-z]*([+/_=-]+([A-Za-z]+|[0-9]+))+[+/_=-]*$",
     r"(?i)example|placeholder|xxxx|0123456789|abcdefgh",
 )
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 
 
 def _located(text: Column, pattern: str, kind: str, likely: Column, value_group: int | None = None) -> Column:
@@ -80,13 +87,10 @@ def _spans(located: Column, kind: str, keep=None) -> Column:
     return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end")))
 
 
-def _high_runs(candidate: Column) -> Column:
-    """Merged runs (start, end) within a candidate whose windows have high entropy."""
+def _high_runs(candidate: Column, bits: Column) -> Column:
+    """Merged runs (start, end) within a string whose windows have more than the given bits per character."""
     scale = [c * math.log2(c) if c else 0.0 for c in range(WINDOW + 1)]
     term = lambda n: F.element_at(F.array(*[F.lit(x) for x in scale]), (n + 1).cast("int"))
-    bits = F.lit(HIGH_BITS[-1][2])
-    for _, form, threshold in reversed(HIGH_BITS[:-1]):
-        bits = F.when(candidate.rlike(form), F.lit(threshold)).otherwise(bits)
     run = "struct<start:int,end:int>"
     state = F.struct(
         F.array_repeat(F.lit(0), 128).alias("counts"),
@@ -139,23 +143,58 @@ def _high_runs(candidate: Column) -> Column:
     )
 
 
+def _merged(spans: Column) -> Column:
+    """Spans by start, those that overlap or touch as one."""
+    span = "struct<start:int,end:int>"
+    return F.aggregate(
+        F.array_sort(spans),
+        F.array().cast(f"array<{span}>"),
+        lambda acc, s: let(
+            F.try_element_at(acc, F.lit(-1)),
+            lambda last: F.when(
+                last.isNotNull() & (s["start"] <= last["end"]),
+                F.concat(
+                    F.slice(acc, 1, F.size(acc) - 1),
+                    F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))),
+                ),
+            ).otherwise(F.concat(acc, F.array(s))),
+        ),
+    )
+
+
 def _entropy_spans(text: Column, allowed: tuple[str, ...]) -> Column:
-    def suspicious(s):
-        bad = F.lit(True)
+    def is_allowed(part, form="{}"):
+        found = F.lit(False)
         for pattern in allowed:
-            bad = bad & ~s["found"].rlike(pattern)
-        return bad
+            found = found | part.rlike(form.replace("{}", pattern))
+        return found
+
+    def class_runs(s, form, bits, whole):
+        # a window cannot reach the bits with fewer different characters than this
+        least = math.ceil(2**bits)
+        return F.transform(
+            F.filter(
+                _located(s["found"], form, "entropy", F.lit(True)),
+                lambda r: (F.size(F.array_distinct(F.split(r["found"], ""))) >= least) & (~is_allowed(r["found"], "^(?:{})$") if whole else F.lit(True)),
+            ),
+            lambda r: F.struct((s["start"] + r["start"]).alias("start"), r["found"].alias("found"), F.lit(bits).alias("bits")),
+        )
 
-    candidates = F.filter(_located(text, CANDIDATE, "entropy", text.rlike(CANDIDATE)), suspicious)
-    runs = F.flatten(
+    candidates = _located(text, CANDIDATE, "entropy", text.rlike(CANDIDATE))
+    runs = F.flatten(F.transform(candidates, lambda s: F.array_distinct(F.concat(*[class_runs(s, *c) for c in CLASSES]))))
+    spans = F.flatten(
         F.transform(
-            candidates,
-            lambda s: F.transform(
-                _high_runs(s["found"]), lambda r: F.struct((s["start"] + r["start"]).alias("start"), (s["start"] + r["end"]).alias("end"))
+            runs,
+            lambda r: F.transform(
+                F.filter(
+                    _high_runs(r["found"], r["bits"]),
+                    lambda h: ~is_allowed(F.substring(r["found"], h["start"] + 1, h["end"] - h["start"])),
+                ),
+                lambda h: F.struct((r["start"] + h["start"]).alias("start"), (r["start"] + h["end"]).alias("end")),
             ),
         )
     )
-    return _spans(runs, "entropy")
+    return _spans(_merged(spans), "entropy")
 
 
 def _listed(spans: Column) -> Column:

@@ -189,6 +189,30 @@ def test_secrets(docs, empty):
     assert scan_secrets(empty).count() == 0
 
 
+def test_secret_classes(spark):
+    hexes, mixed, letters = "9F86D081884C7D659A2FEAA0C55AD015", "Zx9+Qk2LmV7tR4yWb8Nc1Hd5", "QwErTyUiOpAsDfGhJkLzXcVbNmQw"
+    texts = {
+        1: f"session_id={hexes} end",
+        2: f"path/{hexes[:22].lower()} end",
+        3: f"name={letters} end",
+        4: f"example={mixed} end",
+        5: "docs/example/some/path/with-long_names/and-more/words and donaudampfschifffahrtsgesellschaft",
+        6: "550e8400-e29b-41d4-a716-446655440000 2024-01-01-2024-01-01-2024 12345678901234567890123456",
+        7: "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        8: f"{mixed} {mixed}",
+        9: "=" * 500,
+    }
+    rows = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+
+    def entropy(i):
+        return [texts[i][int(s) : int(e)] for k, s, e in (x.split(":") for x in rows[i].spans.split(",") if x) if k == "entropy"]
+
+    for i, secret in ((1, hexes), (2, hexes[:22].lower()), (3, letters), (4, mixed)):
+        assert any(secret in found for found in entropy(i)), i
+    assert entropy(8) == [mixed, mixed] and rows[8].n_entropy == 2
+    assert not any(rows[i].n_entropy for i in (5, 6, 7, 9))
+
+
 def test_contamination(docs, empty, benchmark):
     windows = defaultdict(set)
     for r in benchmark.collect():
