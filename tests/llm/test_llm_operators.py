@@ -287,3 +287,73 @@ def test_pipeline(spark):
         assert kept.exceptAll(docs).isEmpty(), name
     rows = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()} and rows
+
+
+def test_pipeline_decisions(spark, tmp_path):
+    rnd = random.Random(11)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(3, 7))) for _ in range(300)]
+    rows, toxic = [], set()
+    for i in range(300):
+        body = rnd.choices(words, k=rnd.randint(30, 60))
+        if i % 5 == 0:
+            body[5:5] = ["vile", "scum", "idiots"] * 3
+            toxic.add(i)
+        if i % 5 == 1 and i > 5:  # exact copy, but for letter case
+            body = rows[i - 4][1].upper().split()
+        if i % 5 == 2 and i > 5:  # near copy, in chains
+            body = rows[i - 5][1].split()
+            body[-1] = rnd.choice(words)
+        rows.append((i, " ".join(body)))
+    rows += [(300, ""), (301, ""), (302, "!!!"), (303, "one two"), (304, "One Two")]
+    item = " ".join(rows[8][1].split()[:20])
+    rows += [(305, rows[3][1] + " " + item), (306, rows[4][1])]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i, _ in rows], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, None)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    texts = dict(rows)
+
+    def after(name, ids):
+        given = docs.where(docs.doc_id.isin(sorted(ids)))
+        kept = [r.doc_id for r in stages[name](spark, given, folder).collect()]
+        assert len(kept) == len(set(kept)) and set(kept) < ids, name
+        return set(kept)
+
+    clean = after("toxicity", set(texts))
+    assert clean == {r.doc_id for r in toxicity(docs, labels).collect() if not r.predicted}
+    assert len(clean ^ (set(texts) - toxic)) <= 0.03 * len(texts)
+
+    single = after("exact_dedup", clean)
+    assert single == set({lowered(texts[i]): i for i in sorted(clean)}.values())
+
+    shingles = {}
+    for i in single:
+        w = WORD.findall(lowered(texts[i]))
+        shingles[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset([("none", texts[i])])
+    group = {i: i for i in single}
+    for a in sorted(single):
+        for b in sorted(single):
+            if a < b and group[a] != group[b] and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]) - 1e-9:
+                group = {i: group[a] if g == group[b] else g for i, g in group.items()}
+    apart = after("ngram_jaccard", single)
+    assert sorted(group[i] for i in apart) == sorted(set(group.values()))
+
+    window = WORD.findall(lowered(item))
+    windows = {tuple(window[k : k + 13]) for k in range(len(window) - 12)}
+    expected = set()
+    for i in apart:
+        w, hit = WORD.findall(lowered(texts[i])), set()
+        for k in range(len(w) - 12):
+            if tuple(w[k : k + 13]) in windows:
+                hit.update(range(k, k + 13))
+        if not hit or 20 * len(hit) < len(w):
+            expected.add(i)
+    final = after("decontaminate", apart)
+    assert final == expected
+
+    pieces = stages["packing"](spark, docs.where(docs.doc_id.isin(sorted(final))), folder).collect()
+    # places in a batch follow the order of rows, which may differ between runs
+    whole = Counter((r.doc_id, r.length, r.bucket) for r in corpus_pipeline.run(spark, folder).collect())
+    assert whole == Counter((r.doc_id, r.length, r.bucket) for r in pieces) and {r.doc_id for r in pieces} == final
