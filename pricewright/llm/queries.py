@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricewright.llm.alignment import align_tokenizers
 from pricewright.llm.decontaminate import contamination
 from pricewright.llm.exact_dedup import exact_duplicates
 from pricewright.llm.html_text import page_text
 from pricewright.llm.jaccard import near_duplicates
+from pricewright.llm.lexical_search import rank_documents
 from pricewright.llm.packing import pack
 from pricewright.llm.secrets import scan_secrets
+from pricewright.llm.sharding import shard_by_bytes
 from pricewright.llm.suffix_dedup import repeated_substrings
 from pricewright.llm.token_counts import count_tokens
 from pricewright.llm.token_output import token_digests, write_token_ids
@@ -36,10 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -136,3 +139,48 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), tokenizer(), tokenizer("piece_bpe_32k.model"))
+
+
+@query("op12_sharding")
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_bytes(table(spark, sf_dir, "documents"), 24)
+
+
+TERMS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op13_lexical_search",
+    f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS place, doc_id, {TERMS} AS w FROM documents WHERE text IS NOT NULL
+    ), sized AS (
+        SELECT place, doc_id, len(w) AS n FROM d WHERE len(w) > 0
+    ), corpus AS (
+        SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sized
+    ), tf AS (
+        SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(w) AS term FROM d) GROUP BY place, term
+    ), df AS (
+        SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, corpus GROUP BY term, docs
+    ), asked AS (
+        SELECT row_number() OVER () AS asked, item_id, {TERMS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+    ), q AS (
+        SELECT asked, term, count(*) AS repeats FROM (SELECT asked, unnest(w) AS term FROM asked) GROUP BY asked, term
+    ), scored AS (
+        SELECT asked, place,
+               CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // words))))) AS BIGINT) AS score
+        FROM q JOIN df USING (term) JOIN tf USING (term) JOIN sized USING (place), corpus GROUP BY asked, place
+    ), ranked AS (
+        SELECT asked, doc_id, score, row_number() OVER (PARTITION BY asked ORDER BY score DESC, doc_id) AS rank
+        FROM scored JOIN sized USING (place) WHERE score > 0
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN asked USING (asked) WHERE rank <= 20
+    """,
+)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

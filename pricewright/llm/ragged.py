@@ -141,3 +141,38 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = 5) -> list[np.n
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+class SpanBook(dict):
+    """Numbers byte strings in the order in which they are first seen; equal numbers mean equal bytes.
+
+    The owner empties it when ``full()``: at most ``most`` strings and ``most_bytes``
+    bytes stay, beside those of one chunk of text.
+    """
+
+    def __init__(self, most: int, most_bytes: int = 1 << 26):
+        super().__init__()
+        self.most, self.most_bytes, self.n_bytes, self.fresh = most, most_bytes, 0, []
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = number = len(self)
+        self.fresh.append(key)
+        self.n_bytes += len(key)
+        return number
+
+    def numbers(self, keys: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+    def take_fresh(self) -> list[bytes]:
+        """Strings numbered since the last call, in order."""
+        fresh, self.fresh = self.fresh, []
+        return fresh
+
+    def full(self) -> bool:
+        return len(self) > self.most or self.n_bytes > self.most_bytes
+
+
+def span_strings(data: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """The byte strings that begin at ``starts``, each up to the next."""
+    raw, at = data.tobytes(), starts.tolist()
+    return [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)])]

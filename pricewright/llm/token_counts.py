@@ -8,6 +8,7 @@ has a rank. The surviving symbols are counted and summed per text.
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from functools import lru_cache
@@ -16,11 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pricewright.llm.ragged import ALL_VALUE, chunks, span_hashes, text_bytes
+from pricewright.llm.ragged import SpanBook, chunks, span_strings, text_bytes
 from pricewright.llm.tables import column, map_batches, text_or_empty
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 NO_RANK = np.iinfo(np.int64).max
+#: Bytes from which a run merges on its own, with links; the counts are the same.
+LONG_RUN = 512
 #: Pre-tokens a worker remembers between batches; beyond it the memory starts anew.
 REMEMBERED = 1 << 20
 #: Contractions of the pre-tokenizer pattern.
@@ -103,13 +106,78 @@ class Merges:
         right = np.array([vocab[b] for _, b in pairs], np.int64)
         made = np.array([vocab[a + b] for a, b in pairs], np.int64)
         keys = left << 20 | right
+        self.left, self.right, self.made_by = left, right, made
         order = np.argsort(keys, kind="stable")
         self.keys, self.rank, self.made = keys[order], order.astype(np.int64), made[order]
         self.of_byte = np.array([vocab[c] for c in byte_symbols()], np.int64)
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of neighbours, ``NO_RANK`` where it never merges."""
+        keys = left << 20 | right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.rank[at], NO_RANK)
+
     def count(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Symbols left of each byte run that begins at ``starts``."""
+        """Symbols left of each byte run that begins at ``starts``.
+
+        All short runs merge together, one rank of each a round. A round over a
+        long run would touch all its symbols for a few merges; such runs merge
+        on their own, each round touching the places of its rank only.
+        """
+        sizes = np.diff(np.append(starts, len(data)))
+        counts, long = np.zeros(len(starts), np.int64), sizes > LONG_RUN
+        for i in np.flatnonzero(long).tolist():
+            counts[i] = self.count_long(data[starts[i] : starts[i] + sizes[i]])
+        if long.any():
+            data, starts = gather_spans(data, starts[~long], sizes[~long])
+        if len(starts):
+            counts[~long] = self.count_short(data, starts)
+        return counts
+
+    def count_long(self, data: np.ndarray) -> int:
+        """Symbols left of one run: places are kept by rank, neighbours by links."""
+        symbols, n = self.of_byte[data], len(data)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        alive, left = np.ones(n, bool), n
+        waiting: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+
+        def enter(places: np.ndarray) -> None:
+            places = places[after[places] < n]
+            rank = self.ranks(symbols[places], symbols[after[places]])
+            places, rank = places[rank != NO_RANK], rank[rank != NO_RANK]
+            by = np.argsort(rank, kind="stable")
+            places, rank = places[by], rank[by]
+            edges = np.flatnonzero(np.diff(rank)) + 1
+            for r, some in zip(rank[np.concatenate(([0], edges))].tolist() if len(rank) else (), np.split(places, edges)):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(order, r)
+                waiting[r].append(some)
+
+        enter(np.arange(n - 1))
+        while order:
+            r = heapq.heappop(order)
+            places = np.unique(np.concatenate(waiting.pop(r)))
+            places = places[alive[places] & (symbols[places] == self.left[r]) & (after[places] < n)]
+            places = places[symbols[after[places]] == self.right[r]]
+            if not len(places):
+                continue
+            # of overlapping places, every second one
+            heads = np.concatenate(([True], after[places[:-1]] != places[1:]))
+            turn = np.arange(len(places))
+            places = places[(turn - np.maximum.accumulate(np.where(heads, turn, 0))) % 2 == 0]
+            gone = after[places]
+            symbols[places], alive[gone], after[places] = self.made_by[r], False, after[gone]
+            inner = places[after[places] < n]
+            before[after[inner]] = inner
+            left -= len(places)
+            touched = np.concatenate((places, before[places]))
+            enter(np.unique(touched[touched >= 0]))
+        return left
+
+    def count_short(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         counts = np.zeros(len(starts), np.int64)
         symbols = self.of_byte[data]
         owner = np.zeros(len(data), np.int64)
@@ -212,11 +280,14 @@ def gather_spans(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tup
 
 
 class Counter:
-    """Counts pre-tokens, remembering a bounded number of them."""
+    """Counts pre-tokens, remembering a bounded number of them by their bytes."""
 
     def __init__(self, path: str):
         self.merges = merges(path)
-        self.known = np.zeros(0, np.uint64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.book = SpanBook(REMEMBERED)
         self.count_of = np.zeros(0, np.int64)
 
     def counts(self, texts: list[str]) -> np.ndarray:
@@ -224,33 +295,17 @@ class Counter:
         total = np.array(found, np.int64)
         data, starts, piece = pretokens(pieces)
         if len(starts):
-            hashes = span_hashes(ALL_VALUE[data], starts)
-            sizes = np.diff(np.append(starts, len(data)))
-            hashes = hashes ^ (sizes.astype(np.uint64) << np.uint64(40))
-            distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-            each = self._counted(data, starts, sizes, distinct, where)
-            np.add.at(total, np.array(owner)[piece], each[back])
+            if self.book.full():
+                self._forget()
+            numbers = self.book.numbers(span_strings(data, starts))
+            new = self.book.take_fresh()
+            if new:
+                sizes = np.array([len(k) for k in new], np.int64)
+                counted = self.merges.count(np.frombuffer(b"".join(new), np.uint8), np.cumsum(sizes) - sizes)
+                self.count_of = np.concatenate((self.count_of, counted))
+            np.add.at(total, np.array(owner)[piece], self.count_of[numbers])
         return total
 
-    def _counted(self, data, starts, sizes, distinct, where) -> np.ndarray:
-        out = np.zeros(len(distinct), np.int64)
-        new = np.ones(len(distinct), bool)
-        if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
-            new = self.known[at] != distinct
-            out[~new] = self.count_of[at[~new]]
-        if new.any():
-            at = where[new]
-            body, begins = gather_spans(data, starts[at], sizes[at])
-            out[new] = self.merges.count(body, begins)
-            if len(self.known) + int(new.sum()) > REMEMBERED:
-                self.known, self.count_of = distinct, out.copy()
-            else:
-                keys = np.concatenate((self.known, distinct[new]))
-                order = np.argsort(keys, kind="stable")
-                self.known, self.count_of = keys[order], np.concatenate((self.count_of, out[new]))[order]
-        return out
-
 
 @lru_cache(2)
 def worker_counter(path: str) -> Counter:

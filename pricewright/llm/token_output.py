@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pricewright.llm.ragged import ALL_VALUE, chunks, span_hashes, text_bytes
+from pricewright.llm.ragged import SpanBook, chunks, span_strings, text_bytes
 from pricewright.llm.range_coder import decode_blocks, encode_blocks
 from pricewright.llm.tables import column, text_or_empty
 from pricewright.llm.token_counts import gather_spans, pretokens
@@ -48,23 +48,18 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
+        self.book = SpanBook(REMEMBERED)
         self.place = np.zeros((0, 2), np.int64)
         self.store = np.zeros(0, np.int32)
 
-    def _learn(self, data, starts, sizes, hashes, where) -> None:
-        raw = data.tobytes()
-        pieces = [raw[s : s + n].decode("utf-8", "replace") for s, n in zip(starts[where].tolist(), sizes[where].tolist())]
+    def _learn(self, new: list[bytes]) -> None:
         # without offsets in the text, which nobody reads
-        found = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        found = [e.ids for e in self.library.encode_batch_fast([k.decode("utf-8", "replace") for k in new], add_special_tokens=False)]
         counts = np.array([len(f) for f in found], np.int64)
         flat = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
         begins = len(self.store) + np.cumsum(counts) - counts
         self.store = np.concatenate((self.store, flat))
-        known = np.concatenate((self.known, hashes))
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.place = np.concatenate((self.place, np.column_stack((begins, counts))))[order]
+        self.place = np.concatenate((self.place, np.column_stack((begins, counts))))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts laid end to end, and the number of each."""
@@ -74,16 +69,12 @@ class Encoder:
         counts = np.zeros(len(texts), np.int64)
         ids = np.zeros(0, np.int32)
         if len(starts):
-            sizes = np.diff(np.append(starts, len(data)))
-            hashes = span_hashes(ALL_VALUE[data], starts) ^ (sizes.astype(np.uint64) << np.uint64(40))
-            distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-            new = ~np.isin(distinct, self.known, assume_unique=True)
-            if new.any():
-                if len(self.known) + int(new.sum()) > REMEMBERED:
-                    self._forget()
-                    new[:] = True
-                self._learn(data, starts, sizes, distinct[new], where[new])
-            place = self.place[np.searchsorted(self.known, distinct)][back]
+            if self.book.full():
+                self._forget()
+            numbers = self.book.numbers(span_strings(data, starts))
+            if self.book.fresh:
+                self._learn(self.book.take_fresh())
+            place = self.place[numbers]
             ids, _ = gather_spans(self.store, place[:, 0], place[:, 1])
             np.add.at(counts, owner, place[:, 1])
         if any(special):
