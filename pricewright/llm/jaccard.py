@@ -26,11 +26,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from pricewright.llm.ragged import chunks, mixed, shingle_sets, text_bytes
-from pricewright.llm.tables import column, kept_rows, materialize, text_or_empty
+from pricewright.llm.tables import column, kept_rows, materialize, numbered, text_digest, text_or_empty
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -44,9 +43,7 @@ BLOCK = 512
 #: Pairs whose MinHash values are compared at a time.
 PAIRS = 1 << 17
 
-TEXTS = "uid bigint, doc_id bigint, digest binary, key binary, size int, signature binary"
-
-
+TEXTS = "doc_id bigint, digest binary, key binary, size int, signature binary"
 
 @lru_cache(1)
 def multipliers() -> tuple[np.ndarray, np.ndarray]:
@@ -78,11 +75,10 @@ def least_matches(threshold: float, tolerance: float) -> tuple[int, ...]:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """uid, doc_id, digest of the text, key of the shingle set, its size and signature."""
+    """doc_id, digest of the text, key of the shingle set, its size and signature."""
     named = docs.select(column(docs, id_col).cast("bigint").alias("id"), text_or_empty(docs, text_col).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             digests, keys, sizes, signatures = [], [], [], []
@@ -94,10 +90,8 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else digests[-1][:16])
                     sizes.append(len(s))
                     signatures.append(signature(s).tobytes() if len(s) else None)
-            n = batch.num_rows
-            arrays = [np.arange(uid, uid + n), batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(signatures, pa.binary())]
-            uid += n
-            yield pa.RecordBatch.from_arrays([pa.array(arrays[0], pa.int64()), *arrays[1:]], ["uid", "doc_id", "digest", "key", "size", "signature"])
+            arrays = [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(signatures, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "digest", "key", "size", "signature"])
 
     return named.mapInArrow(run, TEXTS)
 
@@ -302,43 +296,54 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicate_rows(docs: DataFrame, id_col: str, text_col: str, threshold: float, tolerance: float) -> DataFrame:
-    texts = materialize(described(docs, id_col, text_col), "shingle-signatures")
-    classes = texts.groupBy("key").agg(F.min("uid").alias("rep"), F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
-    classes = materialize(classes, "classes")
-    members = texts.where("size > 0").join(classes.select(F.col("rep").alias("uid")), "uid", "left_semi").select("uid", "size", "signature")
+def shingle_classes(texts: DataFrame) -> DataFrame:
+    """key, uid, lead (its first row: null_id, doc_id, digest), copies, size and signature of each shingle set.
+
+    Classes are numbered in order of their first row's id (null last) and key, so
+    ``uid`` is the same however the table is laid out. All rows of a class have
+    one size and one signature.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "digest")).alias("lead")
+    grouped = texts.groupBy("key").agg(first, F.count("*").alias("copies"), F.first("size").alias("size"), F.first("signature").alias("signature"))
+    listed = materialize(grouped, "classes").withColumns({"all": F.lit(0), "null_id": F.col("lead.null_id"), "class_id": F.col("lead.doc_id"), "digest": F.col("lead.digest")})
+    return numbered(listed, "all", ["null_id", "class_id", "key"], "uid", "numbered-classes").drop("all", "null_id", "lead")
+
+
+def near_duplicate_classes(docs: DataFrame, texts: DataFrame, id_col: str, text_col: str, threshold: float, tolerance: float) -> DataFrame:
+    """key, class_id and digest of its first row, copies, n_links, group_id, first (of its group)."""
+    classes = shingle_classes(texts)
+    members = classes.where("size > 0").select("uid", "size", "signature")
     bands = band_rows(members)
     order = ["bucket", "one", "two"]
     dealt = block_members(bands, members).repartition(*order).sortWithinPartitions(*order, "uid")
     found = materialize(candidates(dealt, threshold, tolerance), "candidates")
     # the sets of those texts only that still have a partner
     wanted = found.select("uid").distinct()
-    sets = shingles_of(docs, texts.join(wanted, "uid", "left_semi").select("uid", "digest"), text_col)
+    sets = shingles_of(docs, classes.select("uid", "class_id", "digest").join(wanted, "uid", "left_semi"), id_col, text_col)
     whole = found.join(sets, "uid").repartition(*order).sortWithinPartitions(*order, "uid")
     links = materialize(verified(whole, threshold, tolerance), "links")
-    roots = components(links.select(F.col("uid").alias("a"), F.col("root").alias("b")))
+    roots = components(links.select(F.col("uid").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("uid"), "root")
     counted = links.groupBy("uid").agg(F.sum("links").alias("n_links"))
-    lead = classes.select(F.col("rep").alias("root"), F.col("class_id").alias("lead"))
-    grouped = roots.join(lead, "root").select(F.col("node").alias("rep"), F.col("root"), F.col("lead"))
-    named = classes.join(counted.withColumnRenamed("uid", "rep"), "rep", "left").join(grouped, "rep", "left").select(
-        "key", "rep", "class_id", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("lead", "class_id").alias("group_id"), F.coalesce("root", "rep").alias("root")
+    lead = classes.select(F.col("uid").alias("root"), F.col("class_id").alias("lead"))
+    grouped = roots.join(lead, "root")
+    named = classes.select("key", "uid", "class_id", "digest", "copies").join(counted, "uid", "left").join(grouped, "uid", "left")
+    # the lead of a group may have no id
+    return named.select(
+        "key", "class_id", "digest", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.when(F.col("root").isNull(), F.col("class_id")).otherwise(F.col("lead")).alias("group_id"),
+        (F.col("root").isNull() | (F.col("root") == F.col("uid"))).alias("first"),
     )
-    return texts.select("uid", "doc_id", "digest", "key").join(named, "key")
 
 
-def shingles_of(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
-    """uid and sorted shingle hashes of the texts whose digest is wanted."""
-    bodies = docs.select(text_or_empty(docs, text_col).alias("body"))
+def described_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return materialize(described(docs, id_col, text_col), "shingle-signatures")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
-            for _, _, body, at in chunks(data, offsets):
-                raw = body.tobytes()
-                digests = [hashlib.sha256(raw[at[i] : at[i + 1]]).digest() for i in range(len(at) - 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests, pa.binary()), pa.array([raw[at[i] : at[i + 1]] for i in range(len(at) - 1)], pa.binary())], ["digest", "body"]
-                )
+
+def shingles_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """uid and sorted shingle hashes of the wanted rows (uid, class_id, digest): one text of each class."""
+    named = docs.select(column(docs, id_col).cast("bigint").alias("id"), text_or_empty(docs, text_col).alias("body")).withColumn("mine", text_digest(F.col("body")))
+    row = F.xxhash64("id", "mine").alias("row")
+    theirs = wanted.select("uid", "class_id", "digest", F.xxhash64("class_id", "digest").alias("row"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,26 +351,35 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
             values = [s.tobytes() for _, _, body, at in chunks(data, offsets) for s in shingle_sets(body, at, WORDS)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["uid", "shingles"])
 
-    texts = bodies.mapInArrow(run, "digest binary, body binary").join(wanted, "digest").select("uid", "body")
+    texts = named.select("id", "mine", "body", row).join(theirs, "row").where(F.col("id").eqNullSafe(F.col("class_id")) & (F.col("mine") == F.col("digest"))).select("uid", "body")
     return texts.mapInArrow(sets, "uid bigint, shingles binary").dropDuplicates(["uid"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per input row: doc_id, class_id, copies, n_links, group_id.
 
-    A class is the texts with one shingle set, named by its smallest id;
-    ``n_links`` counts the other classes of similarity ``threshold`` or more;
-    ``group_id`` is the class_id of the first class of the connected group. A
-    text of fewer than five words, but not none, is one shingle; texts without
-    words (null, empty) are linked to nothing and share a class with their
-    copies. Rows repeat as in the input, also with null ids; an empty table gives
-    no rows; further columns are ignored.
+    A class is the texts with one shingle set, named by its smallest id (null
+    only where no row has one); ``n_links`` counts the other classes of
+    similarity ``threshold`` or more; ``group_id`` is the class_id of the first
+    class of the connected group, in order of class_id (null last) and shingle
+    hash. A text of fewer than five words, but not none, is one shingle; texts
+    without words (null, empty) are linked to nothing and share a class with
+    their copies. The answer is the same in whatever order, files or partitions
+    the rows come. Rows repeat as in the input, also with null ids; an empty table
+    gives no rows; further columns are ignored.
     """
-    rows = near_duplicate_rows(docs, id_col, text_col, threshold, tolerance)
-    return rows.select("doc_id", "class_id", "copies", "n_links", "group_id")
+    texts = described_texts(docs, id_col, text_col)
+    classes = near_duplicate_classes(docs, texts, id_col, text_col, threshold, tolerance)
+    return texts.select("doc_id", "key").join(classes, "key").select("doc_id", "class_id", "copies", "n_links", "group_id")
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, with one row of each group of near duplicates."""
-    rows = near_duplicate_rows(docs, id_col, text_col, threshold, TOLERANCE)
-    return kept_rows(docs, rows.where("uid = root").select("doc_id", "digest"), id_col, text_col)
+    """The rows of ``docs``, all columns as they are, with one row of each group of near duplicates.
+
+    Of a group the row of the smallest id stays (null ids last; of one id the
+    least text digest; of rows equal in both any one, once). Texts without words
+    stay, one of each text. An empty table stays empty.
+    """
+    texts = described_texts(docs, id_col, text_col)
+    classes = near_duplicate_classes(docs, texts, id_col, text_col, threshold, TOLERANCE)
+    return kept_rows(docs, classes.where("first").select(F.col("class_id").alias("doc_id"), "digest"), id_col, text_col)

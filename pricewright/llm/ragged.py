@@ -1,6 +1,6 @@
 """Numpy kernels over many texts at once: one byte array plus offsets.
 
-Memory is proportional to one chunk (about two megabytes of text, or a single
+Memory is proportional to one chunk (about half a megabyte of text, or a single
 longer text), never to a partition.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1

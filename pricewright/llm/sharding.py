@@ -17,9 +17,9 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from pricewright.llm.tables import column, materialize, text_or_empty
+from pricewright.llm.tables import column, materialize, numbered, text_or_empty
 
 #: Bins of light groups; heavy groups are those above the total divided by this number.
 ITEMS = 6144
@@ -59,26 +59,6 @@ def _longer_first(x: list[int], y: list[int]) -> list[int]:
     return x
 
 
-def numbered(rows: DataFrame, within: str, by: list[str], name: str, label: str) -> DataFrame:
-    """``rows`` with a gapless number from 0 inside each value of ``within``, in the order of ``by``.
-
-    One range shuffle; no task holds a whole value of ``within``. Rows that are
-    equal in all of ``by`` are dealt over several tasks. The values of ``within``
-    are integers without null.
-    """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [within, *by]
-    # the place of a row in its input spreads equal rows; which of them comes first is open
-    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, *keys, "_tie").sortWithinPartitions(*keys, "_tie")
-    place = F.monotonically_increasing_id()
-    stored = materialize(dealt.drop("_tie").withColumn("_part", F.spark_partition_id()).withColumn("_place", place.bitwiseAND((1 << 33) - 1)), label)
-    # a part holds neighbouring values: parts and values together, at most, are the rows here
-    runs = stored.groupBy(within, "_part").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
-    before = Window.partitionBy(within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = runs.select(within, "_part", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
-    return stored.join(F.broadcast(shift), [within, "_part"]).withColumn(name, F.col("_place") + F.col("_shift")).drop("_part", "_place", "_shift")
-
-
 def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", items: int = ITEMS) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 

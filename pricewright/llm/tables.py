@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright.session import materialize
 
-__all__ = ["column", "kept_rows", "map_batches", "materialize", "text_digest", "text_or_empty", "unique_name"]
+__all__ = ["ascii_lower", "column", "kept_rows", "map_batches", "materialize", "numbered", "text_digest", "text_or_empty", "unique_name"]
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -43,14 +41,15 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, schema)
 
 
-def text_digest(text: Column, lowered: bool = False) -> Column:
-    """SHA-256 of a text in UTF-8, A-Z lower-cased first when asked."""
+def ascii_lower(text: Column) -> Column:
+    """The text with A-Z lower-cased and all else as it is."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, upper, lower))
 
-    @F.pandas_udf("binary")
-    def digest(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: hashlib.sha256(t.encode().lower() if lowered else t.encode()).digest())
 
-    return digest(text)
+def text_digest(text: Column, lowered: bool = False) -> Column:
+    """SHA-256 of a text in UTF-8, A-Z lower-cased first when asked."""
+    return F.unhex(F.sha2(ascii_lower(text) if lowered else text, 256))
 
 
 def kept_rows(docs: DataFrame, listed: DataFrame, id_col: str, text_col: str, lowered: bool = False) -> DataFrame:
@@ -68,3 +67,23 @@ def kept_rows(docs: DataFrame, listed: DataFrame, id_col: str, text_col: str, lo
     joined = left.join(right, pair).where(same & column(left, id_col).cast("bigint").eqNullSafe(F.col(wanted)))
     first = F.row_number().over(Window.partitionBy(pair, mine, wanted).orderBy(mine))
     return joined.withColumn(turn, first).where(F.col(turn) == 1).select(*[column(joined, c) for c in docs.columns])
+
+
+def numbered(rows: DataFrame, within: str, by: list[str], name: str, label: str) -> DataFrame:
+    """``rows`` with a gapless number from 0 inside each value of ``within``, in the order of ``by``.
+
+    One range shuffle; no task holds a whole value of ``within``. Rows that are
+    equal in all of ``by`` are dealt over several tasks. The values of ``within``
+    are integers without null.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [within, *by]
+    # the place of a row in its input spreads equal rows; which of them comes first is open
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, *keys, "_tie").sortWithinPartitions(*keys, "_tie")
+    place = F.monotonically_increasing_id()
+    stored = materialize(dealt.drop("_tie").withColumn("_part", F.spark_partition_id()).withColumn("_place", place.bitwiseAND((1 << 33) - 1)), label)
+    # a part holds neighbouring values: parts and values together, at most, are the rows here
+    runs = stored.groupBy(within, "_part").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+    before = Window.partitionBy(within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = runs.select(within, "_part", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return stored.join(F.broadcast(shift), [within, "_part"]).withColumn(name, F.col("_place") + F.col("_shift")).drop("_part", "_place", "_shift")

@@ -12,6 +12,7 @@ import pytest
 
 from pricewright.llm import lexical_search, sharding
 from pricewright.llm.alignment import align_tokenizers, common_ends, pair_encoder
+from pricewright.llm.jaccard import keep_one_per_group, near_duplicates
 from pricewright.llm.lexical_search import rank_documents
 from pricewright.llm.sharding import differenced, shard_by_bytes
 from pricewright.llm.token_counts import Counter as TokenCounter, byte_symbols
@@ -242,3 +243,36 @@ def test_search(spark, docs, empty, monkeypatch, block, depth, queries):
     found = rank_documents(docs, table, 20)
     assert sorted(map(tuple, found.collect()), key=repr) == ranked_by_hand(rows, [i for i in items if i[1] is not None], 20)
     assert rank_documents(empty, table).count() == 0 and rank_documents(docs, table.where("1 = 0")).count() == 0
+
+
+def test_near_duplicates_of_any_layout(spark):
+    rnd = random.Random(21)
+    words = ["w%d" % k for k in range(200)]
+    rows = []
+    for i in range(60):
+        body = rnd.choices(words, k=60)
+        for copy in range(rnd.randint(1, 5)):
+            changed = list(body)
+            if copy:
+                changed[rnd.randrange(60)] = "zz%d" % copy
+            rows.append((None if rnd.random() < 0.05 else rnd.randrange(500), " ".join(changed) + rnd.choice(["", ".", " !"])))
+    rows += rows[:10] + [(None, None), (7, ""), (8, "..")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    answers, kept = [], []
+    for layout in (table.coalesce(1), table.orderBy("text"), table.orderBy(table.doc_id.desc()).repartitionByRange(7, "doc_id")):
+        answers.append(Counter(tuple(r) for r in near_duplicates(layout).collect()))
+        kept.append(Counter(tuple(r) for r in keep_one_per_group(layout).collect()))
+    assert answers[0] == answers[1] == answers[2] and kept[0] == kept[1] == kept[2]
+    assert len(set(kept[0])) == sum(kept[0].values()) < len(set(rows))
+    # of each group the row of the least id, by its digest among equal ids
+    sets = {r: frozenset(zip(*[re.findall("[a-z0-9]+", r[1] or "")[k:] for k in range(5)])) or frozenset([r[1] or ""]) for r in set(rows)}
+    group = {r: r for r in sets}
+    for a in sets:
+        for b in sets:
+            if group[a] != group[b] and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9 and all(isinstance(x, tuple) for x in sets[a] | sets[b])):
+                group = {r: group[a] if g == group[b] else g for r, g in group.items()}
+    least = {}
+    for r, g in group.items():
+        order = (r[0] is None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).digest())
+        least[g] = min(least.get(g, (order, r)), (order, r), key=lambda x: x[0])
+    assert {(i, t or "") for i, t in kept[0]} == {(r[0], r[1] or "") for _, r in least.values()}
