@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel, TaskContext
-from pyspark.ml.feature import CountVectorizerModel, PCA
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pricewright.functions.constants import constant_lookup, in_constant
 from pricewright.functions.let import let, spread
@@ -19,11 +17,13 @@ from pricewright.functions.text import ngrams, tokenize, vector_tokens
 from pricewright.operators.lookup import lookup_join
 from pricewright.operators.reshape import ngrams_long
 from pricewright.operators.select import price_tails
-from pricewright.operators.windows import top_k_per_group
+from pricewright.operators.windows import number_rows, top_k_per_group
+from pricewright.session import fresh_path, materialize
 from pricewright.vocab import BOOSTERS, NEGATIONS, PLACEHOLDER
 
-# Largest vocabulary kept as one broadcast dictionary; beyond it use the long form.
-MAX_VOCABULARY = 1 << 18
+# Most frequent terms, of bounded length, that every task holds; all others are joined by a shuffle.
+HOT_TERMS = 1 << 14
+HOT_BYTES = 128
 # Widest matrix whose covariance is solved in one place by the built-in PCA.
 DENSE_COVARIANCE = 1024
 BLOCK_ROWS = 2048
@@ -34,16 +34,27 @@ def term_array(text: Column, ngram_range: tuple[int, int] = (1, 1)) -> Column:
     return let(vector_tokens(text), lambda t: F.concat(*[ngrams(t, n) for n in range(low, high + 1)]))
 
 
-def doc_terms(df: DataFrame, key: str, text: str, ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
-    """Long bag of words (key, term, tf).
+def term_counts(text: Column, ngram_range: tuple[int, int] = (1, 1)) -> Column:
+    """Distinct terms of a text with their counts, in order of the term; counted inside the row."""
 
-    All occurrences of a text come from one task, so they merge before the shuffle.
-    """
-    return (
-        spread(df, [key], term_array(F.col(text), ngram_range), "term")
-        .groupBy(key, "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    def runs(ordered: Column) -> Column:
+        heads = F.transform(ordered, lambda t, i: F.when(F.coalesce(F.get(ordered, i - 1) != t, F.lit(True)), i))
+        return let(
+            F.filter(heads, lambda i: i.isNotNull()),
+            lambda at: F.transform(
+                at,
+                lambda i, k: F.struct(
+                    F.get(ordered, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(ordered)) - i).cast("bigint").alias("tf")
+                ),
+            ),
+        )
+
+    return let(F.sort_array(term_array(F.coalesce(text, F.lit("")), ngram_range)), runs)
+
+
+def doc_terms(df: DataFrame, key: str, text: str, ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
+    """Long bag of words (key, term, tf), one row per distinct term of a row; nothing is shuffled."""
+    return spread(df, [key], term_counts(F.col(text), ngram_range), "e").select(key, "e.term", "e.tf")
 
 
 def vocabulary(
@@ -85,18 +96,37 @@ def tfidf_long(
     max_features: int | None = None,
 ) -> DataFrame:
     """Long TF-IDF (key, term, tf, weight) with L2-normalised rows, for vocabularies of any size."""
-    cells = doc_terms(df, key, text, ngram_range)
+    rows = materialize(df.select(key, term_counts(F.col(text), ngram_range).alias("entries")), "document-terms")
+    cells = rows.select(key, F.explode("entries").alias("e")).select(key, "e.term", "e.tf")
     counted = cells.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= min_df)
     if max_features is not None:
         counted = counted.orderBy(F.desc("total"), "term").limit(max_features)
-    documents = df.agg(F.count("*").alias("n")).scalar()
-    weights = counted.select("term", smooth_idf(F.col("df"), documents).alias("idf"))
-    weighted = cells.join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    documents = rows.count()
+    weights = materialize(counted.select("term", "df", smooth_idf(F.col("df"), documents).alias("idf")), "term-weights")
+    weighted = join_terms(cells, weights).withColumn("w", F.col("tf") * F.col("idf"))
     # the cells of one text are few enough to stand in one window
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", "tf", (F.col("w") / norm).alias("weight"))
 
 
+def join_terms(cells: DataFrame, terms: DataFrame) -> DataFrame:
+    """Cells whose term is in the table (term, df, ...), with the table's other columns.
+
+    The most frequent terms, which would be the hot keys of a join, are sent to
+    every task: their number and length are bounded. The rest is a shuffle join.
+    ``cells`` are read twice, so they should come from a written table.
+    """
+    short = terms.where(F.octet_length("term") <= HOT_BYTES)
+    hot = materialize(short.orderBy(F.desc("df"), "term").limit(HOT_TERMS), "hot-terms")
+    names = [c for c in terms.columns if c not in ("term", "df")]
+    marked = F.broadcast(hot.drop("df"))
+    found = cells.join(marked, "term")
+    rest = cells.join(F.broadcast(hot.select("term")), "term", "left_anti")
+    rare = terms.join(F.broadcast(hot.select("term")), "term", "left_anti").drop("df")
+    columns = [*cells.columns, *names]
+    return found.select(*columns).unionByName(rest.join(rare, "term").select(*columns))
+
+
 def ngram_counts(
     df: DataFrame, columns: list[str], low: float, high: float, price: str = "sold_price", keep: str = "alpha"
 ) -> DataFrame:
@@ -171,61 +201,76 @@ class BagOfWords:
         self.max_features = max_features
 
     def fit(self, df: DataFrame, text: str) -> "BagOfWordsModel":
-        cap = self.max_features or MAX_VOCABULARY + 1
-        rows = (
-            vocabulary(df, text, self.ngram_range, self.min_df, cap)
-            .select("term", "df")
-            .orderBy("term")
-            .collect()
-        )
-        if len(rows) > MAX_VOCABULARY:
-            raise ValueError(
-                f"more than {MAX_VOCABULARY} terms; raise min_df, set max_features or use tfidf_long"
-            )
-        if not rows:
-            raise ValueError(f"no terms in column {text!r}")
-        idf = None
-        if self.weighting == "tfidf":
-            n = df.count()
-            idf = [float(np.log((1 + n) / (1 + r["df"])) + 1) for r in rows]
-        return BagOfWordsModel(text, self.ngram_range, [r["term"] for r in rows], idf)
+        counted = vocabulary(df, text, self.ngram_range, self.min_df, self.max_features)
+        numbered = number_rows(counted.select("term", "df"), ["term"], "index")
+        documents = df.count() if self.weighting == "tfidf" else None
+        idf = smooth_idf(F.col("df"), documents) if documents is not None else F.lit(None).cast("double")
+        terms = materialize(numbered.select("term", F.col("index").cast("int").alias("index"), "df", idf.alias("idf")), "vocabulary")
+        size = terms.count()
+        if not size:
+            raise ValueError(f"column {text!r} holds no term that occurs often enough")
+        return BagOfWordsModel(text, self.ngram_range, terms, size, self.weighting)
 
 
 class BagOfWordsModel:
-    def __init__(self, text: str, ngram_range: tuple[int, int], terms: list[str], idf: list[float] | None):
-        self.text, self.ngram_range, self.terms, self.idf = text, tuple(ngram_range), terms, idf
+    """A vocabulary as a written table (term, index, df, idf), of any size; indices follow the order of the terms."""
 
-    def transform(self, df: DataFrame, output: str) -> DataFrame:
-        """Sparse vectors; the whole transform is narrow."""
-        counter = CountVectorizerModel.from_vocabulary(self.terms, inputCol="__terms", outputCol="__counts")
-        out = counter.transform(df.withColumn("__terms", term_array(F.col(self.text), self.ngram_range)))
-        if self.idf is None:
-            return out.withColumn(output, F.col("__counts")).drop("__terms", "__counts")
-        from pyspark.ml.feature import ElementwiseProduct, Normalizer
+    def __init__(self, text: str, ngram_range: tuple[int, int], terms: DataFrame, size: int, weighting: str):
+        self.text, self.ngram_range, self.terms, self.size, self.weighting = text, tuple(ngram_range), terms, size, weighting
 
-        scaled = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="__counts", outputCol="__scaled")
-        unit = Normalizer(p=2.0, inputCol="__scaled", outputCol=output)
-        return unit.transform(scaled.transform(out)).drop("__terms", "__counts", "__scaled")
+    def transform(self, df: DataFrame, output: str) -> DataFrame:
+        """Sparse vectors, one for each distinct text, joined to the rows by the text's SHA-256.
+
+        A null text counts as empty. Texts without a known term get the zero vector.
+        """
+        digest = F.unhex(F.sha2(F.coalesce(F.col(self.text).cast("string"), F.lit("")), 256))
+        entries = term_counts(F.col(self.text), self.ngram_range)
+        texts = materialize(df.select(digest.alias("__digest"), entries.alias("e")).groupBy("__digest").agg(F.first("e").alias("e")), "text-terms")
+        cells = texts.select("__digest", F.explode("e").alias("e")).select("__digest", "e.term", "e.tf")
+        value = F.col("tf").cast("double") if self.weighting == "count" else F.col("tf") * F.col("idf")
+        known = join_terms(cells, self.terms).select("__digest", F.struct("index", value.alias("value")).alias("cell"))
+        vectors = texts.select("__digest").join(known, "__digest", "left").groupBy("__digest").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+        values = F.col("cells.value")
+        if self.weighting == "tfidf":
+            norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, v: total + v * v))
+            values = let(norm, lambda n: F.transform(F.col("cells.value"), lambda v: v / n))
+        sparse = F.struct(
+            F.lit(0).cast("tinyint").alias("type"), F.lit(self.size).alias("size"), F.col("cells.index").alias("indices"), values.alias("values")
+        )
+        stored = written_vectors(vectors.select("__digest", sparse.alias("__vector")), "__vector", "text-vectors")
+        joined = df.withColumn("__digest", digest).join(stored, "__digest", "left")
+        kept = [F.col(f"`{c}`") for c in df.columns if c != output]
+        return joined.select(*kept, F.col("__vector").alias(output))
 
-    def to_dict(self) -> dict:
-        return {"text": self.text, "ngram_range": list(self.ngram_range), "terms": self.terms, "idf": self.idf}
+    def save(self, path: str) -> dict:
+        """Write the vocabulary; what is returned describes the rest."""
+        self.terms.write.mode("overwrite").parquet(path)
+        return {"text": self.text, "ngram_range": list(self.ngram_range), "size": self.size, "weighting": self.weighting}
 
     @staticmethod
-    def from_dict(data: dict) -> "BagOfWordsModel":
-        return BagOfWordsModel(data["text"], tuple(data["ngram_range"]), data["terms"], data["idf"])
+    def load(spark: SparkSession, path: str, data: dict) -> "BagOfWordsModel":
+        return BagOfWordsModel(data["text"], tuple(data["ngram_range"]), spark.read.parquet(path), data["size"], data["weighting"])
+
+
+def written_vectors(df: DataFrame, column: str, label: str) -> DataFrame:
+    """A table whose ``column`` has the fields of a sparse vector, stored and read again as vectors.
+
+    Vectors are stored as these very fields, so no row is built one by one.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    schema = T.StructType([T.StructField(f.name, VectorUDT() if f.name == column else f.dataType) for f in df.schema])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def vector_cells(df: DataFrame, key: str, column: str, terms: list[str] | None = None) -> DataFrame:
-    """Non-zero cells of sparse vectors as rows (key, index or term, value)."""
+def vector_cells(df: DataFrame, key: str, column: str, model: BagOfWordsModel | None = None) -> DataFrame:
+    """Non-zero cells of sparse vectors as rows (key, index, value), or with a model (key, term, value)."""
     raw = F.unwrap_udt(F.col(column))
     cells = df.select(key, F.explode(F.arrays_zip(raw["indices"].alias("index"), raw["values"].alias("value"))).alias("c"))
     cells = cells.select(key, F.col("c").getField("index").alias("index"), F.col("c").getField("value").alias("value"))
-    if terms is None:
+    if model is None:
         return cells
-    table = df.sparkSession.createDataFrame(
-        pd.DataFrame({"index": np.arange(len(terms), dtype="int32"), "term": terms}), "index int, term string"
-    )
-    return lookup_join(cells, table, "index", rows=len(terms)).select(key, "term", "value")
+    return lookup_join(cells, model.terms.select("index", "term"), "index", rows=model.size).select(key, "term", "value")
 
 
 def _csr(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -370,10 +415,12 @@ class ReduceModel:
         indices = F.coalesce(raw["indices"], F.sequence(F.lit(0), F.size(raw["values"]) - 1))
         return df.withColumn(output, array_to_vector(project(indices, raw["values"])))
 
-    def to_json(self) -> str:
-        return json.dumps({"components": self.components.tolist(), "offset": self.offset.tolist()})
+    def save(self, path: str) -> None:
+        """One row per vocabulary index with its weights, and the projected mean as the row after the last."""
+        rows = [(i, [float(x) for x in r]) for i, r in enumerate(np.vstack((self.components, self.offset)))]
+        SparkSession.getActiveSession().createDataFrame(rows, "index int, weights array<double>").write.mode("overwrite").parquet(path)
 
     @staticmethod
-    def from_json(text: str) -> "ReduceModel":
-        data = json.loads(text)
-        return ReduceModel(np.array(data["components"]), np.array(data["offset"]))
+    def load(spark: SparkSession, path: str) -> "ReduceModel":
+        rows = np.array([r["weights"] for r in spark.read.parquet(path).orderBy("index").collect()])
+        return ReduceModel(rows[:-1], rows[-1])

@@ -184,3 +184,20 @@ def union_ragged(*frames: DataFrame) -> DataFrame:
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)
     return out
+
+
+def number_rows(df: DataFrame, by: list[str], output: str) -> DataFrame:
+    """``df`` with gapless numbers from 0 in the order of ``by``, which tells all rows apart.
+
+    One range sort into the session's shuffle partitions; the only window runs
+    over one row per partition.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ordered = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    stored = materialize(ordered.withColumns({"__part": F.spark_partition_id(), "__place": place}), "numbered")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("__part").agg(F.count("*").alias("__rows"))
+    shift = sizes.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__shift"))
+    numbered = stored.join(F.broadcast(shift), "__part").withColumn(output, F.col("__place") + F.col("__shift"))
+    return numbered.select(*df.columns, output)

@@ -178,6 +178,7 @@ def token_overlap(t):
 
 
 _TERMS = "{vector_tokens}"
+_TRIGRAMS = "list_transform(range(1, len(v) - 1), lambda i: v[i] || ' ' || v[i + 1] || ' ' || v[i + 2])"
 _BIGRAMS = "list_transform(range(1, len(v)), lambda i: v[i] || ' ' || v[i + 1])"
 
 
@@ -193,7 +194,27 @@ _BIGRAMS = "list_transform(range(1, len(v)), lambda i: v[i] || ' ' || v[i + 1])"
 def bag_of_words_cells(t):
     docs = t.documents().select("doc_id", "text")
     model = TF.BagOfWords("count", (1, 2), min_df=2, max_features=500).fit(docs, "text")
-    return TF.vector_cells(model.transform(docs, "v"), "doc_id", "v", model.terms)
+    return TF.vector_cells(model.transform(docs, "v"), "doc_id", "v", model)
+
+
+@query(
+    "all_ngram_cells",
+    "ENC12",
+    f"""WITH v AS (SELECT doc_id, {_TERMS} AS v FROM (SELECT doc_id, text AS txt FROM documents)),
+       c AS (SELECT doc_id, term, count(*) AS tf FROM
+              (SELECT doc_id, unnest(list_concat(v, {_BIGRAMS}, {_TRIGRAMS})) AS term FROM v) GROUP BY ALL),
+       k AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS place FROM (SELECT DISTINCT term FROM c))
+       SELECT doc_id, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS occurrences,
+              CAST(sum(place) AS BIGINT) AS places FROM c JOIN k USING (term) GROUP BY 1""",
+)
+def all_ngram_cells(t):
+    """Every term of one to three words of all documents, in vectors over the whole vocabulary."""
+    docs = t.documents().select("doc_id", "text")
+    model = TF.BagOfWords("count", (1, 3)).fit(docs, "text")
+    cells = TF.vector_cells(model.transform(docs, "v"), "doc_id", "v")
+    return cells.groupBy("doc_id").agg(
+        F.count("*").alias("terms"), F.sum(F.col("value").cast("bigint")).alias("occurrences"), F.sum(F.col("index").cast("bigint")).alias("places")
+    )
 
 
 @query(
@@ -224,7 +245,7 @@ def tfidf_cells(t):
 def tfidf_vector_cells(t):
     docs = t.documents().select("doc_id", "text")
     model = TF.BagOfWords("tfidf", min_df=2, max_features=1000).fit(docs, "text")
-    out = TF.vector_cells(model.transform(docs, "v"), "doc_id", "v", model.terms)
+    out = TF.vector_cells(model.transform(docs, "v"), "doc_id", "v", model)
     return out.select("doc_id", "term", F.lit(1).alias("one"), F.round("value", 8).alias("value"))
 
 

@@ -88,16 +88,35 @@ def test_vocabulary_and_vectors(spark):
     tf, dfreq = Counter(g for x in grams for g in x), Counter(g for x in grams for g in set(x))
     assert got == {g: (tf[g], dfreq[g]) for g in tf}
     model = TF.BagOfWords(ngram_range=(1, 2), max_features=3).fit(df, "text")
-    assert model.terms == sorted(sorted(tf, key=lambda g: (-tf[g], g))[:3])
-    cells = {(r["id"], r["term"]): r["value"] for r in TF.vector_cells(model.transform(df, "v"), "id", "v", model.terms).collect()}
-    assert cells == {(i, g): n for i, x in enumerate(grams) for g, n in Counter(x).items() if g in model.terms}
+    terms = [r["term"] for r in model.terms.orderBy("index").collect()]
+    assert terms == sorted(sorted(tf, key=lambda g: (-tf[g], g))[:3])
+    cells = {(r["id"], r["term"]): r["value"] for r in TF.vector_cells(model.transform(df, "v"), "id", "v", model).collect()}
+    assert cells == {(i, g): n for i, x in enumerate(grams) for g, n in Counter(x).items() if g in terms}
+
+
+def test_vocabulary_past_the_old_limit(spark, monkeypatch):
+    rows = [(i, " ".join(f"t{i * 20 + k:07d}" for k in range(20)) + " common common") for i in range(15_000)]
+    rows += [(-1, None), (-2, ""), (-3, rows[5][1]), (-4, "x " * 200 + "L" * 500)]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(8)
+    monkeypatch.setattr(TF, "HOT_TERMS", 100)
+    model = TF.BagOfWords("tfidf").fit(df, "text")
+    assert model.size == 15_000 * 20 + 2 > 1 << 18
+    out = model.transform(df, "v").withColumn("raw", F.unwrap_udt(F.col("v")))
+    got = {r["id"]: (r["raw"]["size"], r["raw"]["indices"], r["raw"]["values"]) for r in out.where("id < 2").select("id", "raw").collect()}
+    assert got[-1] == got[-2] == (model.size, [], [])
+    n = len(rows)
+    rare, often = math.log((1 + n) / 2) + 1, math.log((1 + n) / (1 + 15_001)) + 1
+    assert got[0][1] == [0, *range(2, 22)]  # the long term of the last row comes second
+    norm = math.sqrt(20 * rare**2 + 4 * often**2)
+    assert got[0][2] == pytest.approx([2 * often / norm] + [rare / norm] * 20)
+    assert out.count() == len(rows) and out.where("size(raw.indices) = 21").count() == 15_001
 
 
 def test_tfidf_forms_agree(spark):
     texts = ["aa bb aa cc", "bb cc dd", "aa", "dd dd ee", ""]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     model = TF.BagOfWords("tfidf").fit(df, "text")
-    vector = {(r["id"], r["term"]): r["value"] for r in TF.vector_cells(model.transform(df, "v"), "id", "v", model.terms).collect()}
+    vector = {(r["id"], r["term"]): r["value"] for r in TF.vector_cells(model.transform(df, "v"), "id", "v", model).collect()}
     long = {(r["id"], r["term"]): r["weight"] for r in TF.tfidf_long(df, "id", "text").collect()}
     assert vector.keys() == long.keys()
     for key in long:
