@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,8 +14,6 @@ from pricewright.operators.windows import ROWS_PER_SLICE, running
 from pricewright.session import materialize
 from pricewright.vocab import ACCESSORIES, CATEGORICAL_COLUMNS, CONDITION_RANK, ONE_SIZE, size_positions
 
-MAX_ONE_HOT = 2000
-
 
 def fixed_size(
     size: Column, category: Column, normalize: bool = False, accessories: str = ACCESSORIES
@@ -49,12 +47,65 @@ def standardize(
     )
 
 
-def labels_of(df: DataFrame, column: str, limit: int = MAX_ONE_HOT) -> list[str]:
-    """Sorted distinct values of a low-cardinality column."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column!r} has more than {limit} values; use a mean encoding")
-    return sorted(r[0] for r in rows)
+def labels_of(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a column; the driver holds them, as a fitted string indexer does."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+
+
+def label_index(df: DataFrame, column: str, labels: list[str], output: str, handle_unknown: str = "ignore") -> DataFrame:
+    """Place of each value among the labels; NULL and unseen values get their number, or fail on ``error``."""
+    if not labels:
+        return df.withColumn(output, F.lit(0.0))
+    invalid = "error" if handle_unknown == "error" else "keep"
+    return StringIndexerModel.from_labels(labels, column, output, handleInvalid=invalid).transform(df)
+
+
+@dataclass
+class OneHot:
+    """0/1 vectors of categorical columns, sparse, for any number of labels.
+
+    ``handle_unknown`` is ``ignore`` (NULL and unseen values are all zeros) or
+    ``error``; ``drop`` is ``first`` to leave out the first label of each column.
+    """
+
+    handle_unknown: str = "ignore"
+    drop: str | None = None
+
+    def __post_init__(self):
+        if self.handle_unknown not in ("ignore", "error") or self.drop not in (None, "first"):
+            raise ValueError("one-hot settings: handle_unknown is 'ignore' or 'error', drop is None or 'first'")
+
+    def fit(self, df: DataFrame, columns: list[str]) -> "OneHotModel":
+        return OneHotModel(self, {c: labels_of(df, c) for c in columns})
+
+
+class OneHotModel:
+    def __init__(self, encoder: OneHot, labels: dict[str, list[str]]):
+        self.encoder, self.labels = encoder, labels
+
+    def names(self) -> list[str]:
+        first = 1 if self.encoder.drop else 0
+        return [f"{c}={label}" for c, labels in self.labels.items() for label in labels[first:]]
+
+    def transform(self, df: DataFrame, output: str) -> DataFrame:
+        """One vector over all columns, in the order of ``names``."""
+        kept, first = df.columns, 1 if self.encoder.drop else 0
+        codes = []
+        for n, (c, labels) in enumerate(self.labels.items()):
+            slots = max(0, len(labels) - first)
+            if not slots:
+                continue
+            df = label_index(df, c, labels, f"__label_{n}", self.encoder.handle_unknown)
+            place = F.col(f"__label_{n}") - first
+            # the slot after the last stands for no label; the encoder leaves it out
+            code = F.when(place.between(0, slots - 1), place).otherwise(F.lit(float(slots)))
+            df = df.withColumn(f"__code_{n}", code.alias(f"__code_{n}", metadata={"ml_attr": {"type": "nominal", "num_vals": slots + 1}})).drop(f"__label_{n}")
+            codes.append(f"__code_{n}")
+        if not codes:
+            return df.withColumn(output, array_to_vector(F.array().cast("array<double>")))
+        hot = OneHotEncoder(inputCols=codes, outputCols=[f"{c}_hot" for c in codes], dropLast=True)
+        df = hot.fit(df).transform(df)  # sizes are known: nothing is read
+        return VectorAssembler(inputCols=[f"{c}_hot" for c in codes], outputCol=output).transform(df).select(*kept, output)
 
 
 def one_hot(column: str, labels: list[str]) -> list[Column]:
@@ -179,6 +230,8 @@ class FeaturePlan:
     catboost_cols: list[str] | None = None
     te_cols: list[str] | None = None
     scaler_params: dict | None = None
+    ohe_params: dict | None = None
+    oe_params: dict | None = None
     catboost_params: dict | None = None
     te_params: dict | None = None
     normalize_size: bool = False
@@ -192,6 +245,11 @@ class FeaturePlan:
         self.catboost_cols = list(self.catboost_cols or [])
         taken = {*self.ohe_cols, *self.oe_cols, *self.catboost_cols}
         self.te_cols = list(self.te_cols or sorted(set(CATEGORICAL_COLUMNS) - taken))
+        # made here so that unknown settings fail before any job runs
+        self.one_hot = OneHot(**(self.ohe_params or {}))
+        self.rank_unknown = {"handle_unknown": "value", **(self.oe_params or {})}
+        if set(self.rank_unknown) != {"handle_unknown"} or self.rank_unknown["handle_unknown"] not in ("value", "return_nan", "error"):
+            raise ValueError("ordinal settings: handle_unknown is 'value' (-1), 'return_nan' or 'error'")
 
     def size_encoder(self) -> str | None:
         for kind in ("ohe", "oe", "catboost", "te"):
@@ -230,9 +288,6 @@ class FeaturePlan:
         if wanted:
             stats = materialize(category_stats(df, wanted, target), "category-stats")
             counts = category_counts(stats)
-            for c in listed:
-                if counts.get(c, 0) > MAX_ONE_HOT:
-                    raise ValueError(f"{c!r} has more than {MAX_ONE_HOT} values; use a mean encoding")
             for r in stats.where(F.col("feature").isin(listed)).select("feature", "category").collect() if listed else []:
                 labels[r["feature"]].append(r["category"])
             if self.catboost_cols:
@@ -240,10 +295,7 @@ class FeaturePlan:
                 means.append(encoder.model(self.catboost_cols, stats, counts, row["prior"]))
             if self.te_cols:
                 means.append(TargetMean(**(self.te_params or {})).model(self.te_cols, stats, counts, row["prior"]))
-        ranks = {
-            c: CONDITION_RANK if c == "condition" else {v: i + 1 for i, v in enumerate(sorted(labels[c]))}
-            for c in self.oe_cols
-        }
+        ranks = {c: None if c == "condition" else sorted(labels[c]) for c in self.oe_cols}
         return FeaturePlanModel(self, scaling, {c: sorted(labels[c]) for c in self.ohe_cols}, ranks, means)
 
 
@@ -251,31 +303,62 @@ class FeaturePlanModel:
     """Fitted encoders; ``transform`` adds one feature vector in a fixed column order."""
 
     def __init__(self, plan: FeaturePlan, scaling: dict, labels: dict, ranks: dict, means: list[MeanEncoderModel]):
+        # ranks: the labels of a column in order; the condition has a fixed order of its own
         self.plan, self.scaling, self.labels, self.ranks, self.means = plan, scaling, labels, ranks, means
+        self.hot = OneHotModel(plan.one_hot, labels)
 
     def names(self) -> list[str]:
         out = [f"{c}_scaled" for c in self.scaling]
-        out += [f"{c}={label}" for c, labels in self.labels.items() for label in labels]
+        out += self.hot.names()
         out += [f"{c}_rank" for c in self.ranks]
         return out + [f"{c}_enc" for model in self.means for c in model.columns]
 
-    def encoded(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        """Kept columns and one double column per feature."""
+    def _numbers(self, df: DataFrame) -> DataFrame:
+        """Every feature but the one-hot ones as a double column; the size as given is kept in ``__size``."""
         df = self.plan._sized(df.withColumn("__size", F.col("size"))) if "size" in df.columns else df
         if self.scaling:
             df = standardize(df, list(self.scaling), self.scaling, **(self.plan.scaler_params or {}))
-        hot = [column for c, labels in self.labels.items() for column in one_hot(c, labels)]
-        rank = [ordinal(F.col(c), ranks).cast("double").alias(f"{c}_rank") for c, ranks in self.ranks.items()]
+        unknown = self.plan.rank_unknown["handle_unknown"]
+        for c, labels in self.ranks.items():
+            if labels is None:
+                rank = ordinal(F.col(c), CONDITION_RANK).cast("double")
+                known = rank >= 0
+            else:
+                df = label_index(df, c, labels, "__place")
+                rank = F.col("__place") + 1.0
+                known = F.col("__place") < len(labels)
+            other = {"value": F.lit(-1.0), "return_nan": F.lit(float("nan"))}.get(unknown)
+            if other is None:
+                other = F.raise_error(F.concat(F.lit(f"unknown value in {c}: "), F.coalesce(F.col(c), F.lit("NULL")))).cast("double")
+            df = df.withColumn(f"{c}_rank", F.when(known, rank).otherwise(other)).drop("__place")
         for model in self.means:
             df = model.transform(df)
-        scaled = [F.col(f"{c}_scaled") for c in self.scaling]
-        means = [F.col(f"{c}_enc") for model in self.means for c in model.columns]
+        return df
+
+    def _listed(self) -> tuple[list[str], list[str]]:
+        """Number columns before and after the one-hot block."""
+        return [f"{c}_scaled" for c in self.scaling], [f"{c}_rank" for c in self.ranks] + [f"{c}_enc" for model in self.means for c in model.columns]
+
+    def encoded(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """Kept columns and one double column per feature: for plans of few labels; ``transform`` has no such limit."""
+        first = 1 if self.plan.one_hot.drop else 0
+        hot = [column for c, labels in self.labels.items() for column in one_hot(c, labels[first:])]
+        before, after = self._listed()
         kept = [F.col("__size").alias("size") if c == "size" else F.col(c) for c in keep]
-        return df.select(*kept, *scaled, *hot, *rank, *means)
+        return self._numbers(df).select(*kept, *before, *hot, *after)
 
     def transform(self, df: DataFrame, output: str = "tab_features") -> DataFrame:
-        wide = self.encoded(df, df.columns)
-        return wide.select(*df.columns, array_to_vector(F.array(*[f"`{n}`" for n in self.names()])).alias(output))
+        """One vector in the order of ``names``; one-hot parts are sparse, so any number of labels will do."""
+        columns = df.columns
+        df, (before, after) = self._numbers(df), self._listed()
+        blocks = [*before, *after]
+        if self.hot.names():
+            df = self.hot.transform(df, "__hot")
+            blocks = [*before, "__hot", *after]
+        # NaN is a wanted code there; elsewhere a missing number is a fault
+        invalid = "keep" if self.plan.rank_unknown["handle_unknown"] == "return_nan" else "error"
+        kept = [F.col("__size").alias("size") if c == "size" else F.col(c) for c in columns]
+        return VectorAssembler(inputCols=blocks, outputCol=output, handleInvalid=invalid).transform(df).select(*kept, output)
 
 
 def assemble(df: DataFrame, blocks: list[str], output: str = "features") -> DataFrame:

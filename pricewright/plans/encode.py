@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.operators import encoders as E
 from pricewright.operators import splits as P
 from pricewright.operators.knn import knn_predict, nearest
+from pricewright.operators.text_features import vector_cells
 from pricewright.plans.registry import query
 from pricewright.vocab import CONDITION_RANK, SIZE_CHARTS, TEXT_COLUMNS
 
@@ -64,6 +65,25 @@ def one_hot_codes(t):
     return rows.select("id", *E.one_hot("category", E.labels_of(rows, "category")))
 
 
+@query(
+    "one_hot_cells",
+    "ENC4 ENC9",
+    """WITH o AS (SELECT o_orderkey, 'c' || o_custkey AS customer, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders),
+       c AS (SELECT customer, row_number() OVER (ORDER BY customer) - 1 AS place FROM (SELECT DISTINCT customer FROM o)),
+       k AS (SELECT day, row_number() OVER (ORDER BY day) - 2 AS place FROM (SELECT DISTINCT day FROM o))
+       SELECT o_orderkey, 'customer' AS part, CAST(place - 1 AS INTEGER) AS index FROM o JOIN c USING (customer) WHERE place > 0
+       UNION ALL SELECT o_orderkey, 'day', CAST(place + (SELECT count(*) FROM c) - 1 AS INTEGER)
+       FROM o JOIN k USING (day) WHERE place >= 0""",
+)
+def one_hot_cells(t):
+    """Two columns of many labels in one sparse vector, the first label of each left out."""
+    rows = t.table("orders").select("o_orderkey", F.concat(F.lit("c"), "o_custkey").alias("customer"), F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    model = E.OneHot(drop="first").fit(rows, ["customer", "day"])
+    cells = vector_cells(model.transform(rows, "v"), "o_orderkey", "v")
+    customers = len(model.labels["customer"]) - 1
+    return cells.select("o_orderkey", F.when(F.col("index") < customers, "customer").otherwise("day").alias("part"), "index")
+
+
 @query(
     "condition_ranks",
     "ENC5",

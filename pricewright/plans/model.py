@@ -138,6 +138,30 @@ def usage_stream(t):
     )
 
 
+@query(
+    "usage_updates",
+    "STM3 AGG14",
+    """WITH r AS {requests}
+       SELECT date_trunc('day', "timestamp") AS start, request_path, count(*) AS requests,
+              round(avg(response_time), 6) AS avg_response_time,
+              100.0::DOUBLE * count(*) FILTER (WHERE status_code >= 400) / count(*) AS error_rate
+       FROM r GROUP BY ALL""",
+)
+def usage_updates(t):
+    """The whole log, read out of order in several micro-batches; every window is there, the open ones too."""
+    log, out, checkpoint = (fresh_path(t.spark, f"usage-{name}") for name in ("log", "totals", "checkpoint"))
+    requests = t.requests()
+    # rows of one day are dealt over all files
+    requests.repartition(5, F.pmod(F.xxhash64("id"), F.lit(5))).write.parquet(log)
+    stream = t.spark.readStream.schema(t.spark.read.parquet(log).schema).option("maxFilesPerTrigger", 1).parquet(log)
+    flows.usage_updates(stream, out, checkpoint).awaitTermination()
+    rows = flows.read_usage(t.spark, out)
+    return rows.select(
+        F.col("start").cast("timestamp_ntz").alias("start"), "request_path", "requests",
+        F.round("avg_response_time", 6).alias("avg_response_time"), "error_rate",
+    )
+
+
 @query(
     "request_log_stream",
     "SNK6 STM3 SRC6",

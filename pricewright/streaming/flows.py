@@ -66,11 +66,15 @@ def score_stream(listings: DataFrame, model: FittedPriceModel, path: str, checkp
     )
 
 
-def usage_windows(requests: DataFrame, window: str = "1 day", lateness: str = "10 minutes") -> DataFrame:
-    """Request statistics per time window and path; works on streams and on tables."""
+def usage_windows(requests: DataFrame, window: str = "1 day", lateness: str | None = "10 minutes") -> DataFrame:
+    """Request statistics per time window and path; works on streams and on tables.
+
+    Without a lateness there is no watermark: requests count however late they come.
+    """
+    if lateness is not None:
+        requests = requests.withWatermark("timestamp", lateness)
     return (
-        requests.withWatermark("timestamp", lateness)
-        .groupBy(F.window("timestamp", window).alias("w"), "request_path")
+        requests.groupBy(F.window("timestamp", window).alias("w"), "request_path")
         .agg(
             F.count("*").alias("requests"),
             F.avg("response_time").alias("avg_response_time"),
@@ -82,6 +86,42 @@ def usage_windows(requests: DataFrame, window: str = "1 day", lateness: str = "1
     )
 
 
+def usage_updates(requests: DataFrame, path: str, checkpoint: str, window: str = "1 day") -> StreamingQuery:
+    """Complete usage statistics, open windows included, for as long as the log is read.
+
+    Each micro-batch stores the windows that it touched, with their totals so
+    far, in a folder of its own (column ``batch``); a batch that is replayed
+    after a failure replaces itself. ``read_usage`` gives the latest totals. The
+    state is one row per window and path, without a watermark, so late requests
+    count; requests without a timestamp are in no window.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        usage_windows(requests, window, None)
+        .writeStream.outputMode("update")
+        .foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_usage(spark: SparkSession, path: str) -> DataFrame:
+    """The latest totals of every window and path that ``usage_updates`` stored."""
+    values = ["end", "requests", "avg_response_time", "error_rate"]
+    stored = spark.read.parquet(path).withColumn("batch", F.col("batch").cast("bigint"))
+    latest = stored.groupBy("start", "request_path").agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    return latest.select("start", "last.end", "request_path", "last.requests", "last.avg_response_time", "last.error_rate")
+
+
+def compact_usage(spark: SparkSession, path: str, output: str) -> None:
+    """Write the latest totals as one table, for logs that were read in very many batches."""
+    read_usage(spark, path).write.mode("overwrite").parquet(output)
+
+
 def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append-only parquet sink; closed windows are written once."""
     return (

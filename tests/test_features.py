@@ -94,6 +94,36 @@ def test_vocabulary_and_vectors(spark):
     assert cells == {(i, g): n for i, x in enumerate(grams) for g, n in Counter(x).items() if g in terms}
 
 
+def test_one_hot_of_many_labels(spark):
+    rows = [(i, f"v{i:06d}", "abc"[i % 3]) for i in range(100_000)] + [(-1, None, "a"), (-2, "v000007", None)]
+    df = spark.createDataFrame(rows, "id int, many string, few string").repartition(8)
+    model = E.OneHot().fit(df, ["many", "few"])
+    assert len(model.names()) == 100_003
+    out = model.transform(df, "v").select("id", F.unwrap_udt(F.col("v")).alias("v")).where("id in (-2, -1, 5, 99999)")
+    got = {r["id"]: (r["v"]["size"], r["v"]["indices"], r["v"]["values"]) for r in out.collect()}
+    assert got == {-1: (100_003, [100_000], [1.0]), -2: (100_003, [7], [1.0]), 5: (100_003, [5, 100_002], [1.0, 1.0]), 99_999: (100_003, [99_999, 100_000], [1.0, 1.0])}
+
+
+def test_encoder_settings(spark, sample):
+    plan = E.FeaturePlan(ohe_params={"drop": "first"}, oe_cols=["condition", "color"], oe_params={"handle_unknown": "return_nan"})
+    model = plan.fit(sample, "sold_price")
+    wide = model.encoded(sample, ["id"])
+    vectors = {r["id"]: list(r["a"]) for r in model.transform(sample).select("id", vector_to_array("tab_features").alias("a")).collect()}
+    names = wide.columns[1:]
+    assert names == model.names() and {r["id"]: [r[n] for n in names] for r in wide.collect()} == vectors
+    assert "department=menswear" not in names and "department=womenswear" in names
+    unseen = sample.withColumn("color", F.lit("mauve"))
+    assert all(math.isnan(r["color_rank"]) for r in model.encoded(unseen, ["id"]).collect())
+    with pytest.raises(Exception, match="mauve"):
+        E.FeaturePlan(oe_cols=["color"], oe_params={"handle_unknown": "error"}).fit(sample, "sold_price").transform(unseen).collect()
+    with pytest.raises(Exception, match="(?i)unseen|invalid"):
+        E.OneHot("error").fit(sample, ["color"]).transform(unseen, "v").collect()
+    with pytest.raises(ValueError, match="one-hot settings"):
+        E.FeaturePlan(ohe_params={"handle_unknown": "x"})
+    with pytest.raises(ValueError, match="ordinal settings"):
+        E.FeaturePlan(oe_params={"x": 1})
+
+
 def test_vocabulary_past_the_old_limit(spark, monkeypatch):
     rows = [(i, " ".join(f"t{i * 20 + k:07d}" for k in range(20)) + " common common") for i in range(15_000)]
     rows += [(-1, None), (-2, ""), (-3, rows[5][1]), (-4, "x " * 200 + "L" * 500)]

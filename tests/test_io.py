@@ -158,3 +158,35 @@ def test_one_per_key_keeps_the_earliest_row(spark):
     kept = {tuple(r) for r in writers.one_per_key(rows, "id", "parsing_date").collect()}
     assert kept == {("a", "x", 2), ("b", None, 1), (None, "m", 5)}
     assert writers.one_per_key(rows.select("id"), "id").count() == 3
+
+
+def test_usage_updates_add_up(spark, tmp_path):
+    """Files out of order and late rows; a second run over new files replaces the windows it touches."""
+    log, out, checkpoint = f"{tmp_path}/log", f"{tmp_path}/usage", f"{tmp_path}/check"
+    hours = [9, 1, 30, 1, 9, 50, 2, 30]
+
+    def rows(ids):
+        return spark.createDataFrame(
+            [(i, hours[i % 8], f"/p{i % 3}", float(i), 500 if i % 5 == 0 else 200) for i in ids], "id long, hour int, request_path string, response_time double, status_code int"
+        ).selectExpr("id", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, hour) AS timestamp", "request_path", "response_time", "status_code")
+
+    for part in range(4):
+        rows(range(part * 10, part * 10 + 10)).coalesce(1).write.mode("append").parquet(log)
+    stream = lambda: spark.readStream.schema(spark.read.parquet(log).schema).option("maxFilesPerTrigger", 1).parquet(log)
+
+    def agree(n):
+        wanted = flows.usage_windows(rows(range(n)), "1 day", None)
+        found = flows.read_usage(spark, out)
+        assert found.columns == wanted.columns and sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+        assert found.agg(F.sum("requests")).first()[0] == n
+
+    flows.usage_updates(stream(), out, checkpoint).awaitTermination()
+    agree(40)
+    assert spark.read.parquet(out).select("batch").distinct().count() == 4
+    rows(range(40, 45)).coalesce(1).write.mode("append").parquet(log)
+    flows.usage_updates(stream(), out, checkpoint).awaitTermination()
+    agree(45)
+    flows.usage_updates(stream(), out, checkpoint).awaitTermination()
+    agree(45)
+    flows.compact_usage(spark, out, f"{tmp_path}/compact")
+    assert spark.read.parquet(f"{tmp_path}/compact").count() == flows.read_usage(spark, out).count()
