@@ -1,4 +1,4 @@
-"""Exact nearest neighbours without a cross join.
+"""Nearest neighbours without a cross join: exact, or approximate by random projections.
 
 Training rows are grouped into cells around pivot vectors. The triangle
 inequality tells which cells can hold one of a query's k nearest rows, and only
@@ -11,10 +11,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from pricewright.session import materialize
+
 MAX_PIVOTS = 256
 BLOCK = 4096
+#: Rows of the sample from which a bucket length is taken, and how many of them are asked.
+SAMPLE_ROWS, SAMPLE_ASKED = 1000, 100
 
 
 def _stack(vectors: pd.Series) -> np.ndarray:
@@ -139,6 +145,71 @@ def nearest(
     return ranked.select(F.col("q").alias(query_key), F.col("t").alias(train_key), "distance", "rank")
 
 
+def suggested_bucket(train: DataFrame, k: int, train_key: str = "id", vector: str = "vector") -> float:
+    """The shift of a projection that a k-th neighbour causes: its median distance over the root of the dimensions.
+
+    Taken inside a sample of at most ``SAMPLE_ROWS`` rows (the first by MD5 of the key).
+    A sample is sparser than the table, so the distance is on the large side: it
+    costs pairs, not recall.
+    """
+    picked = train.orderBy(F.md5(F.col(train_key).cast("string"))).limit(SAMPLE_ROWS).select(F.col(vector).cast("array<double>")).collect()
+    points = np.array([r[0] for r in picked], dtype=float)
+    if len(points) < 2:
+        return 1.0
+    asked = points[:SAMPLE_ASKED]
+    gaps = np.sqrt(np.maximum(0, (asked**2).sum(1)[:, None] + (points**2).sum(1) - 2 * asked @ points.T))
+    gaps.sort(axis=1)  # the first is the row itself
+    # projections go onto unit vectors, which see one dimension's share of a distance
+    return float(np.median(gaps[:, min(k, len(points) - 1)])) / points.shape[1] ** 0.5 or 1.0
+
+
+def candidate_pairs(train: DataFrame, query: DataFrame, train_key: str, query_key: str, vector: str, bucket_length: float, tables: int, seed: int = 42) -> DataFrame:
+    """Pairs (q, t, distance) that share a bucket in one of the tables of random projections."""
+    rows = train.select(F.col(train_key).alias("t"), array_to_vector(F.col(vector).cast("array<double>")).alias("v"))
+    asked = query.select(F.col(query_key).alias("q"), array_to_vector(F.col(vector).cast("array<double>")).alias("v"))
+    hashing = BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed)
+    joined = hashing.fit(rows).approxSimilarityJoin(asked, rows, float("inf"), distCol="distance")
+    return joined.select(F.col("datasetA.q").alias("q"), F.col("datasetB.t").alias("t"), "distance")
+
+
+def approximate_nearest(
+    train: DataFrame,
+    query: DataFrame,
+    k: int = 5,
+    train_key: str = "id",
+    query_key: str = "query_id",
+    vector: str = "vector",
+    bucket_length: float | None = None,
+    tables: int = 8,
+    seed: int = 42,
+) -> DataFrame:
+    """Nearly the k nearest training rows of each query row: (query_key, train_key, distance, rank).
+
+    Rows are compared when they share a bucket of a random projection. A pair whose
+    projections differ by about the bucket length is missed by one table with
+    probability 0.63, by eight with 0.025; closer pairs less. Distances are exact. Queries that share a bucket
+    with fewer than k rows are answered by the exact form. Keys tell rows apart.
+    """
+    if bucket_length is None:
+        bucket_length = suggested_bucket(train, k, train_key, vector)
+    pairs = candidate_pairs(train, query, train_key, query_key, vector, bucket_length, tables, seed)
+    order = Window.partitionBy("q").orderBy("distance", "t")
+    ranked = materialize(pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "near-pairs")
+    full = ranked.where(F.col("rank") == k).select(F.col("q").alias(query_key))
+    names = [F.col("q").alias(query_key), F.col("t").alias(train_key), "distance", "rank"]
+    found = ranked.join(full.withColumnRenamed(query_key, "q"), "q", "left_semi").select(*names)
+    short = materialize(query.join(full, query_key, "left_anti"), "short-queries")
+    if short.isEmpty():
+        return found
+    return found.unionByName(nearest(train, short, k, train_key, query_key, vector).select(query_key, train_key, "distance", "rank"))
+
+
+def recall(found: DataFrame, exact: DataFrame, query_key: str, train_key: str) -> DataFrame:
+    """One row: wanted, hit, recall of the exact neighbours."""
+    hits = exact.select(query_key, train_key).join(found.select(query_key, train_key, F.lit(1).alias("hit")), [query_key, train_key], "left")
+    return hits.agg(F.count("*").alias("wanted"), F.count("hit").alias("hit"), F.try_divide(F.count("hit"), F.count("*")).alias("recall"))
+
+
 def knn_predict(
     train: DataFrame,
     query: DataFrame,

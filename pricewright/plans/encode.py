@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from pricewright.operators import encoders as E
 from pricewright.operators import splits as P
-from pricewright.operators.knn import knn_predict, nearest
+from pricewright.operators.knn import approximate_nearest, candidate_pairs, knn_predict, nearest, recall, suggested_bucket
 from pricewright.operators.text_features import vector_cells
 from pricewright.plans.registry import query
+from pricewright.session import materialize
 from pricewright.vocab import CONDITION_RANK, SIZE_CHARTS, TEXT_COLUMNS
 
 _CHARTS = ", ".join("[" + ", ".join(f"'{s}'" for s in chart) + "]" for chart in SIZE_CHARTS)
@@ -285,6 +286,26 @@ def nearest_vectors(t):
     return found.select("query_id", "vec_id", F.round("distance", 9).alias("distance"))
 
 
+@query(
+    "approximate_neighbours",
+    "JOI7",
+    f"""WITH {_PAIRS_SQL} SELECT count(*) AS wanted, true AS recall_reached, true AS fewer_pairs, round(max(distance), 9) AS farthest FROM n""",
+)
+def approximate_neighbours(t):
+    """Random projections against the exact neighbours: recall of 0.9 at least, from fewer than all pairs."""
+    train, asked = _vectors(t)
+    exact = materialize(nearest(train, asked, 5, train_key="vec_id", block=100), "exact-neighbours")
+    found = approximate_nearest(train, asked, 5, train_key="vec_id")
+    bucket = suggested_bucket(train, 5, "vec_id")
+    compared = candidate_pairs(train, asked, "vec_id", "query_id", "vector", bucket, 8).agg(F.count("*").alias("compared"))
+    every = train.agg(F.count("*").alias("rows")).crossJoin(asked.agg(F.count("*").alias("asked")))  # one row each
+    measured = recall(found, exact, "query_id", "vec_id").crossJoin(compared).crossJoin(every)
+    farthest = exact.agg(F.round(F.max("distance"), 9).alias("farthest"))
+    return measured.crossJoin(farthest).select(
+        "wanted", (F.col("recall") >= 0.9).alias("recall_reached"), (F.col("compared") < F.col("rows") * F.col("asked")).alias("fewer_pairs"), "farthest"
+    )
+
+
 @query(
     "knn_labels",
     "ML6 JOI7",

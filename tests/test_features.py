@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pricewright.operators import encoders as E
+from pricewright.operators import knn as KNN
 from pricewright.operators import text_features as TF
 from pricewright.operators.knn import knn_predict, nearest
 from pricewright.operators.models import TextPlan
@@ -240,3 +241,24 @@ def test_nearest_with_fewer_rows_than_k(spark):
     train = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id int, vector array<double>")
     query = spark.createDataFrame([(9, [0.2])], "query_id int, vector array<double>")
     assert [r["id"] for r in nearest(train, query, 5).orderBy("rank").collect()] == [1, 2]
+
+
+def test_approximate_neighbours_of_clusters(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((60, 16)) * 10
+    points = centres[rng.integers(0, 60, 3000)] + rng.standard_normal((3000, 16)) * 0.3
+    points = np.vstack((points, np.full((1, 16), 500.0)))  # far from all: fewer than k rows in its buckets
+    train = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id int, vector array<double>")
+    asked = train.where("id % 20 = 0").withColumnRenamed("id", "query_id")
+    bucket = KNN.suggested_bucket(train, 5)
+    assert 0.2 < bucket < 1
+    exact, found = nearest(train, asked, 5), KNN.approximate_nearest(train, asked, 5)
+    measured = KNN.recall(found, exact, "query_id", "id").first()
+    assert measured["wanted"] == 5 * asked.count() and measured["recall"] >= 0.9
+    assert found.groupBy("query_id").count().where("count <> 5").isEmpty()
+    assert found.where("query_id = 3000").count() == 5
+    compared = KNN.candidate_pairs(train, asked, "id", "query_id", "vector", bucket, 8).count()
+    assert compared < 0.2 * 3001 * asked.count()
+    wrong = found.join(train.withColumnRenamed("vector", "v"), "id").join(asked, "query_id")
+    gap = F.sqrt(F.aggregate(F.zip_with("v", "vector", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y))
+    assert wrong.where(F.abs(gap - F.col("distance")) > 1e-9).isEmpty()
