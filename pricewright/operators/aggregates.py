@@ -38,7 +38,7 @@ def unique_values(df: DataFrame, features: list[str]) -> DataFrame:
     """Distinct values per feature (NULL included) as rows (feature, value)."""
     absent = [f for f in features if f not in df.columns]
     if absent:
-        raise KeyError(f"The following features were not found in the data: {absent}.")
+        raise KeyError(f"no columns {absent}")
     long = df.select(*[F.col(c).cast("string").alias(c) for c in features]).unpivot([], features, "feature", "value")
     return long.distinct()
 

@@ -30,9 +30,9 @@ def fixed_size(
 
 
 def standard_parameters(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column, from one pass."""
+    """Mean and population deviation per column, from one pass; 0 and 1 for a column without values."""
     row = df.agg(*[e for c in columns for e in (F.avg(c), F.stddev_pop(c))]).first()
-    return {c: (float(row[2 * i]), float(row[2 * i + 1]) or 1.0) for i, c in enumerate(columns)}
+    return {c: (float(row[2 * i] or 0.0), float(row[2 * i + 1] or 0.0) or 1.0) for i, c in enumerate(columns)}
 
 
 def standardize(
@@ -202,8 +202,12 @@ def ordered_prior_mean(
     output: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Leak-free form for training rows: only rows earlier in the order count."""
-    prior = float(df.agg(F.avg(target)).first()[0])
+    """Leak-free form for training rows: only rows earlier in the order count.
+
+    Without any target value the codes are NaN; an empty table stays empty.
+    """
+    prior = df.agg(F.avg(target)).first()[0]
+    prior = float("nan") if prior is None else float(prior)
     seen = running(
         df,
         [column],
@@ -280,7 +284,7 @@ class FeaturePlan:
             F.avg(target).alias("prior"), *[e for c in self.numeric_cols for e in (F.avg(c), F.stddev_pop(c))]
         ).first()
         scaling = {
-            c: (float(row[2 * i + 1]), float(row[2 * i + 2]) or 1.0) for i, c in enumerate(self.numeric_cols)
+            c: (float(row[2 * i + 1] or 0.0), float(row[2 * i + 2] or 0.0) or 1.0) for i, c in enumerate(self.numeric_cols)
         }
         listed = [c for c in self.oe_cols if c != "condition"] + self.ohe_cols
         wanted = list(dict.fromkeys([*listed, *self.catboost_cols, *self.te_cols]))

@@ -75,7 +75,7 @@ def run_sweep(train: DataFrame, eval_: DataFrame, lists: dict[str, list], consta
     return out
 
 
-# The configuration that the experiments ended with.
+# The configuration that the experiments ended with.
 BEST = {
     "estimator_class": "catboost",
     "use_tab_features": True,

@@ -190,7 +190,7 @@ def validate(df: DataFrame, dependent: bool = False) -> DataFrame:
     broken = {
         "department": _one_of("department", SUBCATEGORIES),
         "category": _one_of("category", [c for _, c in pairs]),
-        "subcategory": _one_of("subcategory", [s for d, c in pairs for s in SUBCATEGORIES[d][c].split()]),
+        "subcategory": _one_of("subcategory", [s for d, c in pairs for s in SUBCATEGORIES[d][c]]),
         "condition": _one_of("condition", CONDITIONS),
         "size": _one_of("size", [s for d, c in pairs for s in SIZES[d][c]]),
         "designer": _length("designer"),

@@ -69,7 +69,7 @@ def quantiles(
     that the ranks are found by narrowing value ranges.
     """
     if column not in df.columns:
-        raise KeyError(f"{column!r} column not found in the data.")
+        raise KeyError(f"no column {column!r}")
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     n = values.count()
     if n == 0:

@@ -43,10 +43,10 @@ def text_stats_long(df: DataFrame, columns: list[str], price: str = "sold_price"
     return wide.unpivot(["text_feature", price], list(STATS), "stat", "value")
 
 
-def ngrams_long(df: DataFrame, columns: list[str], price: str = "sold_price", keep: str = "alpha") -> DataFrame:
-    """One row per n-gram occurrence: (text_feature, price, ngram, value).
+def ngrams_long(df: DataFrame, columns: list[str], price: str = "sold_price", keep: str = "alpha", tags: tuple[str, ...] = ()) -> DataFrame:
+    """One row per n-gram occurrence: (text_feature, price, *tags, ngram, value).
 
-    Text left empty by cleaning carries the placeholder as its only token.
+    ``tags`` are further columns that go along. Text left empty by cleaning carries the placeholder as its only token.
     """
 
     def kinds(tokens: Column) -> Column:
@@ -58,9 +58,9 @@ def ngrams_long(df: DataFrame, columns: list[str], price: str = "sold_price", ke
             ),
         )
 
-    long = text_long(df, columns, price)
-    by_kind = spread(long, ["text_feature", price], let(clean_tokens(F.col("text"), keep), kinds), "k")
-    return by_kind.select("text_feature", price, "k.ngram", F.explode("k.v").alias("value"))
+    long = df.unpivot([price, *tags], columns, "text_feature", "text")
+    by_kind = spread(long, ["text_feature", price, *tags], let(clean_tokens(F.col("text"), keep), kinds), "k")
+    return by_kind.select("text_feature", price, *tags, "k.ngram", F.explode("k.v").alias("value"))
 
 
 def explode_list(df: DataFrame, column: str, output: str = "value") -> DataFrame:
@@ -92,12 +92,21 @@ def nest_columns(df: DataFrame, sep: str = ".") -> DataFrame:
 
 
 def nest_config(flat: dict) -> dict:
-    """Dotted configuration keys to nested dictionaries."""
+    """Dotted configuration keys to nested dictionaries; a key that is a value and a group at once is refused."""
     out: dict = {}
+    made = [out]
     for key, value in flat.items():
         *groups, leaf = key.split(".")
         node = out
         for group in groups:
-            node = node.setdefault(group, {})
+            if group not in node:
+                node[group] = {}
+                made.append(node[group])
+            node = node[group]
+            # a value may be a dictionary too; only those made here are groups
+            if not any(node is m for m in made):
+                raise ValueError(f"{key!r} is both a value and a group")
+        if leaf in node:
+            raise ValueError(f"{key!r} is both a value and a group")
         node[leaf] = value
     return out

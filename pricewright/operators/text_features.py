@@ -132,10 +132,8 @@ def ngram_counts(
 ) -> DataFrame:
     """N-gram counts and mean price in both price tails, per text feature and n-gram kind."""
     tails = price_tails(df.select(*columns, price), low, high, price)
-    # the tail follows from the price, so it is labelled again after the reshape
-    occurrences = ngrams_long(tails.drop("tail"), columns, price, keep).where(F.col("value") != PLACEHOLDER)
-    labelled = price_tails(occurrences, low, high, price)
-    return labelled.groupBy("text_feature", "ngram", "tail", "value").agg(
+    occurrences = ngrams_long(tails, columns, price, keep, ("tail",)).where(F.col("value") != PLACEHOLDER)
+    return occurrences.groupBy("text_feature", "ngram", "tail", "value").agg(
         F.count("*").alias("count"), F.avg(price).alias("mean")
     )
 
@@ -194,7 +192,7 @@ class BagOfWords:
         max_features: int | None = None,
     ):
         if weighting not in ("count", "tfidf"):
-            raise ValueError(f"Vectorizer '{weighting}' is not supported. Supported vectorizers are ['count', 'tfidf']")
+            raise ValueError(f"no vectorizer {weighting!r}: choose 'count' or 'tfidf'")
         self.weighting = weighting
         self.ngram_range = tuple(ngram_range)
         self.min_df = min_df
@@ -378,7 +376,7 @@ class Reduce:
 
     def __init__(self, k: int = 100, method: str = "pca"):
         if method != "pca":
-            raise ValueError(f"Reducer '{method}' is not supported. Supported reducers are ['pca']")
+            raise ValueError(f"no reducer {method!r}: choose 'pca'")
         self.k = k
 
     def fit(self, df: DataFrame, column: str) -> "ReduceModel":

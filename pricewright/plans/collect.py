@@ -203,7 +203,7 @@ def _sql_list(values) -> str:
 
 PAIRS = [(d, c) for d, cats in SUBCATEGORIES.items() for c in cats]
 ALL_CATEGORIES = [c for _, c in PAIRS]
-ALL_SUBCATEGORIES = [s for d, c in PAIRS for s in SUBCATEGORIES[d][c].split()]
+ALL_SUBCATEGORIES = [s for d, c in PAIRS for s in SUBCATEGORIES[d][c]]
 ALL_SIZES = [s for d, c in PAIRS for s in SIZES[d][c]]
 
 # Site vocabulary over the driver tables, with some values that are not offered.

@@ -43,13 +43,13 @@ def read_listings(spark: SparkSession, root: str, name: str | None = None, schem
     """
     if name is None:
         if not path_exists(spark, root):
-            raise FileNotFoundError(f"The file {root} was not found.")
+            raise FileNotFoundError(f"no folder or file {root}")
         return read_csv(spark, root, schema)
     found = _files_named(spark, root, name)
     if not found and path_exists(spark, f"{root}/{name}"):
         found = [f"{root}/{name}"]
     if not found:
-        raise FileNotFoundError(f"The file {name} was not found in {root} or its subfolders.")
+        raise FileNotFoundError(f"nothing named {name} below {root}")
     if len(found) > 1:
         raise ValueError(f"{name} was found more than once: {found}")
     return read_csv(spark, found[0], schema)
@@ -58,11 +58,11 @@ def read_listings(spark: SparkSession, root: str, name: str | None = None, schem
 def require_object_store(spark: SparkSession, bucket: str | None) -> str:
     """``s3a://`` root of a bucket, or an error when bucket or credentials are not set."""
     if not bucket:
-        raise ValueError("Bucket name must be provided when using S3.")
+        raise ValueError("reading from an object store needs a bucket")
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     explicit = conf.get("fs.s3a.access.key") and conf.get("fs.s3a.secret.key")
     if not explicit and not spark.conf.get("spark.hadoop.fs.s3a.aws.credentials.provider", None):
-        raise OSError("AWS credentials not found in the Spark configuration.")
+        raise OSError("the Spark configuration holds no object-store credentials")
     return f"s3a://{bucket}"
 
 

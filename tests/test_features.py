@@ -195,9 +195,9 @@ def test_text_plan_width(sample, options, expected):
 
 
 def test_text_plan_rejects_unknown_parts():
-    with pytest.raises(ValueError, match="Vectorizer 'invalid' is not supported"):
+    with pytest.raises(ValueError, match="no vectorizer 'invalid'"):
         TextPlan(vectorizer_class="invalid")
-    with pytest.raises(ValueError, match="Reducer 'invalid' is not supported"):
+    with pytest.raises(ValueError, match="no reducer 'invalid'"):
         TextPlan(reducer_class="invalid")
 
 
@@ -262,3 +262,12 @@ def test_approximate_neighbours_of_clusters(spark):
     wrong = found.join(train.withColumnRenamed("vector", "v"), "id").join(asked, "query_id")
     gap = F.sqrt(F.aggregate(F.zip_with("v", "vector", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y))
     assert wrong.where(F.abs(gap - F.col("distance")) > 1e-9).isEmpty()
+
+
+def test_encoders_without_values(spark):
+    empty = spark.createDataFrame([], "id int, c string, y double, x double")
+    assert E.ordered_prior_mean(empty, "c", "y", ["id"]).count() == 0
+    assert E.standard_parameters(empty, ["x"]) == {"x": (0.0, 1.0)}
+    null = spark.createDataFrame([(1, "a", None, None), (2, "a", None, None)], empty.schema)
+    assert all(math.isnan(r["c_enc"]) for r in E.ordered_prior_mean(null, "c", "y", ["id"]).collect())
+    assert E.standardize(null, ["x"]).where("x_scaled is not null").isEmpty()
