@@ -286,21 +286,30 @@ class FeaturePlan:
         scaling = {
             c: (float(row[2 * i + 1] or 0.0), float(row[2 * i + 2] or 0.0) or 1.0) for i, c in enumerate(self.numeric_cols)
         }
-        listed = [c for c in self.oe_cols if c != "condition"] + self.ohe_cols
-        wanted = list(dict.fromkeys([*listed, *self.catboost_cols, *self.te_cols]))
+        wanted = list(dict.fromkeys([*self._listed(), *self.catboost_cols, *self.te_cols]))
+        stats = materialize(category_stats(df, wanted, target), "category-stats") if wanted else None
+        return self.model(scaling, row["prior"], stats)
+
+    def _listed(self) -> list[str]:
+        """Columns whose labels are numbered; the condition has a fixed order of its own."""
+        return [c for c in self.oe_cols if c != "condition"] + self.ohe_cols
+
+    def model(self, scaling: dict, prior: float | None, stats: DataFrame | None) -> "FeaturePlanModel":
+        """Fitted encoders from the learned numbers and the written table of category statistics."""
+        listed = self._listed()
         labels, means = {c: [] for c in listed}, []
-        if wanted:
-            stats = materialize(category_stats(df, wanted, target), "category-stats")
+        if stats is not None:
             counts = category_counts(stats)
             for r in stats.where(F.col("feature").isin(listed)).select("feature", "category").collect() if listed else []:
                 labels[r["feature"]].append(r["category"])
             if self.catboost_cols:
-                encoder = PriorMean(**(self.catboost_params or {}))
-                means.append(encoder.model(self.catboost_cols, stats, counts, row["prior"]))
+                means.append(PriorMean(**(self.catboost_params or {})).model(self.catboost_cols, stats, counts, prior))
             if self.te_cols:
-                means.append(TargetMean(**(self.te_params or {})).model(self.te_cols, stats, counts, row["prior"]))
+                means.append(TargetMean(**(self.te_params or {})).model(self.te_cols, stats, counts, prior))
         ranks = {c: None if c == "condition" else sorted(labels[c]) for c in self.oe_cols}
-        return FeaturePlanModel(self, scaling, {c: sorted(labels[c]) for c in self.ohe_cols}, ranks, means)
+        fitted = FeaturePlanModel(self, scaling, {c: sorted(labels[c]) for c in self.ohe_cols}, ranks, means)
+        fitted.prior, fitted.stats = prior, stats
+        return fitted
 
 
 class FeaturePlanModel:
@@ -310,6 +319,9 @@ class FeaturePlanModel:
         # ranks: the labels of a column in order; the condition has a fixed order of its own
         self.plan, self.scaling, self.labels, self.ranks, self.means = plan, scaling, labels, ranks, means
         self.hot = OneHotModel(plan.one_hot, labels)
+        # what the encoders were made from: all that has to be stored
+        self.prior: float | None = None
+        self.stats: DataFrame | None = None
 
     def names(self) -> list[str]:
         out = [f"{c}_scaled" for c in self.scaling]

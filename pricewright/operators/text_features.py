@@ -240,14 +240,13 @@ class BagOfWordsModel:
         kept = [F.col(f"`{c}`") for c in df.columns if c != output]
         return joined.select(*kept, F.col("__vector").alias(output))
 
-    def save(self, path: str) -> dict:
-        """Write the vocabulary; what is returned describes the rest."""
-        self.terms.write.mode("overwrite").parquet(path)
+    def described(self) -> dict:
+        """All but the table, in a form that JSON holds."""
         return {"text": self.text, "ngram_range": list(self.ngram_range), "size": self.size, "weighting": self.weighting}
 
     @staticmethod
-    def load(spark: SparkSession, path: str, data: dict) -> "BagOfWordsModel":
-        return BagOfWordsModel(data["text"], tuple(data["ngram_range"]), spark.read.parquet(path), data["size"], data["weighting"])
+    def of(terms: DataFrame, data: dict) -> "BagOfWordsModel":
+        return BagOfWordsModel(data["text"], tuple(data["ngram_range"]), terms, data["size"], data["weighting"])
 
 
 def written_vectors(df: DataFrame, column: str, label: str) -> DataFrame:
@@ -297,9 +296,10 @@ def _gram_times(sparse: DataFrame, basis: np.ndarray) -> np.ndarray:
                 continue
             some = True
             row_of, columns, values = _csr(batch)
-            product = np.zeros((len(batch), rank))
-            np.add.at(product, row_of, values[:, None] * shared.value[columns])
-            np.add.at(total, columns, values[:, None] * product[row_of])
+            # one basis column at a time: no array of cells x rank is held
+            for j in range(rank):
+                product = np.bincount(row_of, values * shared.value[columns, j], len(batch))
+                total[:, j] += np.bincount(columns, values * product[row_of], width)
         if some:
             # the task number keeps the shares in place when a task is run again
             salt = TaskContext.get().partitionId()
@@ -413,12 +413,12 @@ class ReduceModel:
         indices = F.coalesce(raw["indices"], F.sequence(F.lit(0), F.size(raw["values"]) - 1))
         return df.withColumn(output, array_to_vector(project(indices, raw["values"])))
 
-    def save(self, path: str) -> None:
+    def table(self) -> DataFrame:
         """One row per vocabulary index with its weights, and the projected mean as the row after the last."""
         rows = [(i, [float(x) for x in r]) for i, r in enumerate(np.vstack((self.components, self.offset)))]
-        SparkSession.getActiveSession().createDataFrame(rows, "index int, weights array<double>").write.mode("overwrite").parquet(path)
+        return SparkSession.active().createDataFrame(rows, "index int, weights array<double>")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> "ReduceModel":
-        rows = np.array([r["weights"] for r in spark.read.parquet(path).orderBy("index").collect()])
+    def of(table: DataFrame) -> "ReduceModel":
+        rows = np.array([r["weights"] for r in table.orderBy("index").collect()])
         return ReduceModel(rows[:-1], rows[-1])

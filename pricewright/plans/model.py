@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricewright.operators import experiments as X
 from pricewright.operators import splits as P
-from pricewright.operators.models import FittedPriceModel, PriceModel, TextPlan
+from pricewright.operators.models import FittedPriceModel, PriceModel
+from pricewright.operators.text_plan import TextPlan
 from pricewright.plans.registry import query
 from pricewright.plans.views import request_rows
 from pricewright.session import fresh_path
@@ -107,6 +108,27 @@ def retrained_model_scores(t):
     return X.score(test, model, F.lit("2024-02-01 00:00:00").cast("timestamp"))
 
 
+@query(
+    "stored_model_predictions",
+    "ML10 SNK5 ENC9 ENC13 ENC14 ENC16",
+    """SELECT id, true AS is_equal, true AS is_priced FROM {described}
+       WHERE ('0x' || substr(md5(id || '#42'), 1, 8))::BIGINT / 4294967296.0 >= 0.8""",
+)
+def stored_model_predictions(t):
+    """The encoders of the final configuration, TF-IDF and a ridge model: fitted, saved as stages and tables, loaded.
+
+    Both models price every test row alike.
+    """
+    train, eval_, test = P.split(t.described(*TABULAR, *TEXTUAL), "id")
+    path = fresh_path(t.spark, "stored-model")
+    fitted = X.retrain(train, eval_, path, {**X.BEST, "estimator_class": "ridge", **_TEXT})
+    loaded, _ = FittedPriceModel.load(t.spark, path)
+    before = fitted.predict(test).select("id", F.col("prediction").alias("before"))
+    after = loaded.predict(test).select("id", F.col("prediction").alias("after"))
+    same = F.col("before").eqNullSafe(F.col("after"))
+    return before.join(after, "id", "full_outer").select("id", same.alias("is_equal"), F.coalesce(F.col("after") > 0, F.lit(False)).alias("is_priced"))
+
+
 @query("scored_listings", "ML11 PRJ8 STR-15")
 def scored_listings(t):
     return X.score(t.described(*TABULAR, *TEXTUAL), _small_model(t), F.lit("2024-02-01 00:00:00").cast("timestamp"))

@@ -10,7 +10,7 @@ from pricewright.operators import encoders as E
 from pricewright.operators import knn as KNN
 from pricewright.operators import text_features as TF
 from pricewright.operators.knn import knn_predict, nearest
-from pricewright.operators.models import TextPlan
+from pricewright.operators.text_plan import TextPlan
 from pricewright.vocab import SIZE_CHARTS, size_positions
 
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from pricewright.operators import experiments as X
 from pricewright.operators import splits as P
-from pricewright.operators.models import FittedPriceModel, PriceModel, linear_regression
+from pricewright.operators.models import FittedPriceModel, PriceModel
+from pricewright.operators.regressors import linear_regression
 from pricewright.session import fresh_path
 
 
