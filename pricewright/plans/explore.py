@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.functions.numeric import log_target, unlog, whole_price
 from pricewright.operators import aggregates as A
 from pricewright.operators import select as S
+from pricewright.operators import sketches as K
 from pricewright.operators import windows as W
 from pricewright.operators.quantiles import quantile_table, quantiles
 from pricewright.plans.registry import query
@@ -56,6 +57,23 @@ def price_quantiles(t):
     return quantile_table(t.listings("sold_price"), [0.25, 0.5, 0.75])
 
 
+@query(
+    "price_sketch_quantiles",
+    "AGG4",
+    """
+    WITH l AS {listings}, g AS (SELECT department, count(*) AS n FROM l WHERE sold_price IS NOT NULL GROUP BY 1)
+    SELECT department, q AS quantile, n, true AS is_near FROM g, (SELECT unnest([CAST(0.05 AS DOUBLE), 0.25, 0.5, 0.75, 0.95]) AS q)
+    """,
+)
+def price_sketch_quantiles(t):
+    """Sketches by department and number of photos, merged by department; every answer's rank is within one per cent."""
+    rows, by = t.listings("department", "n_photos", "sold_price"), ["department"]
+    sketches = K.merge_sketches(K.quantile_sketches(rows, [*by, "n_photos"], "sold_price", 0.005), by, 0.005)
+    answers = K.sketch_quantiles(sketches, by, [0.05, 0.25, 0.5, 0.75, 0.95])
+    near = K.rank_distance(rows, by, "sold_price", answers).select(*by, "quantile", (F.col("distance") <= 0.01).alias("is_near"))
+    return near.join(sketches.select("department", "n"), by)
+
+
 @query(
     "count_mean_by_photos",
     "AGG1",
