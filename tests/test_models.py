@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from pricewright.operators import experiments as X
 from pricewright.operators import splits as P
 from pricewright.operators.models import FittedPriceModel, PriceModel
 from pricewright.operators.regressors import linear_regression
+from pricewright.operators.stages import TabularFeatures, TabularFeaturesModel
 from pricewright.session import fresh_path
 
 
@@ -113,3 +115,30 @@ def test_splits_are_disjoint_exhaustive_and_repeatable(spark):
     assert ids == [{r[0] for r in p.collect()} for p in again]
     assert len(ids[0]) == pytest.approx(1800, rel=0.05)
     assert [p.count() for p in P.split_exact(df, "id", exact_rows=100)] == [1800, 600, 600]
+
+
+def test_pipelines_are_stored_before_and_after_fitting(spark, listings):
+    unfitted = PriceModel("near", "knn", estimator_params={"n_neighbors": 3}).pipeline()
+    path = fresh_path(spark, "pipeline")
+    unfitted.write().save(f"{path}/unfitted")
+    fitted = Pipeline.load(f"{path}/unfitted").fit(listings)
+    fitted.write().save(f"{path}/fitted")
+    loaded = PipelineModel.load(f"{path}/fitted")
+    # repeated and NULL ids keep their rows and get the prediction of their own features
+    asked = listings.where("id < 6").withColumn("id", F.when(F.col("n_photos") > 3, "same")).drop("sold_price")
+    before, after = ([(r["id"], r["n_photos"], r["__price_of_model"]) for r in p.transform(asked).collect()] for p in (fitted, loaded))
+    assert sorted(before, key=str) == sorted(after, key=str)
+    assert len(before) == asked.count() and all(r[2] > 0 for r in before) and {r[0] for r in before} == {"same", None}
+
+
+def test_a_stage_without_metadata_does_not_load(spark, listings, tmp_path):
+    stage = TabularFeatures(settings={"ohe_cols": ["department"]}, labelCol="sold_price", outputCol="v").fit(listings)
+    for table in stage.tables().values():
+        table.write.parquet(f"{tmp_path}/cut/category-stats")
+    with pytest.raises(Exception, match="metadata"):
+        TabularFeaturesModel.load(f"{tmp_path}/cut")
+    stage.write().save(f"{tmp_path}/whole")
+    again = TabularFeaturesModel.load(f"{tmp_path}/whole")
+    assert again.fitted.names() == stage.fitted.names()
+    a, b = ({r["id"]: r["v"] for r in s.transform(listings).collect()} for s in (stage, again))
+    assert a == b
