@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import html
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
+from pricewright.functions.entities import decode_entities
 from pricewright.functions.strings import listing_id, slug, strip_prefix
 from pricewright.functions.text import words
 from pricewright.operators.lookup import check_options
@@ -34,39 +33,32 @@ HASHTAG_LINK_PART = "hashtag"
 HASHTAG_PREFIX = "/shop?hashtag="
 # --- end of fixed values ----------------------------------------------------------
 
-# Entities replaced inside the JVM, ampersand last; anything rarer needs full_entities.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-            ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 
-
-@F.pandas_udf(T.StringType())
-def _unescape_all(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def strip_markup(fragment: Column) -> Column:
+    """Text of an HTML fragment: tags dropped, entities replaced."""
+    return decode_entities(F.regexp_replace(fragment, r"<[^>]*>", ""))
 
 
-def strip_markup(fragment: Column, full_entities: bool = False) -> Column:
-    """Text of an HTML fragment: tags dropped, entities replaced."""
-    text = F.regexp_replace(fragment, r"<[^>]*>", "")
-    if full_entities:
-        return _unescape_all(text)
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+def _class(name: str, part: bool = False) -> str:
+    """Regex of a class attribute in quotes of either kind."""
+    double, single = ('[^"]*', "[^']*") if part else ("", "")
+    return rf"""\sclass=(?:"{double}{name}{double}"|'{single}{name}{single}')"""
 
 
 def element_pattern(tag: str, class_name: str | None = None, class_part: str | None = None) -> str:
     """Regex for the inside of an element, optionally by whole class or part of it."""
     if class_name is not None:
-        attributes = rf'[^>]*class="{class_name}"[^>]*'
+        attributes = rf"(?=\s)[^>]*{_class(class_name)}[^>]*"
     elif class_part is not None:
-        attributes = rf'[^>]*class="[^"]*{class_part}[^"]*"[^>]*'
+        attributes = rf"(?=\s)[^>]*{_class(class_part, part=True)}[^>]*"
     else:
         attributes = r"(?:\s[^>]*)?"
     return rf"(?s)<{tag}{attributes}>(.*?)</{tag}>"
 
 
 def link_pattern(part: str = "", tag: str = r"[a-zA-Z]+") -> str:
-    return rf'<{tag}\s[^>]*href="([^"]*{part}[^"]*)"'
+    """Regex for the target of a link, in quotes of either kind."""
+    return rf"""<{tag}\s[^>]*href=["']((?<=")[^"]*{part}[^"]*(?=")|(?<=')[^']*{part}[^']*(?='))["']"""
 
 
 @dataclass(frozen=True)
@@ -91,7 +83,7 @@ class Field:
 def _matches(source: Column, field: Field) -> Column:
     found = F.regexp_extract_all(source, F.lit(field.pattern), F.lit(1))
     if field.link or "href" in field.pattern:
-        found = F.transform(found, lambda m: F.replace(m, F.lit("&amp;"), F.lit("&")))
+        found = F.transform(found, decode_entities)
     else:
         found = F.transform(found, lambda m: strip_markup(m))
     if field.containing:
@@ -124,7 +116,7 @@ def listing_spec(sold: bool = True) -> list[Field]:
         Field("department", designer_links, 1, link=True),
         Field("category", designer_links, 2, link=True),
         Field("subcategory", designer_links, 3, link=True),
-        Field("n_photos", rf'<button[^>]*class="{PHOTO_CLASS}"', "count", cast="int"),
+        Field("n_photos", rf"<button(?=\s)[^>]*{_class(PHOTO_CLASS)}", "count", cast="int"),
         Field("item_name", element_pattern("h1", TITLE_CLASS)),
         Field("size", detail, containing="Size", prefix="Size "),
         Field("color", detail, containing="Color", prefix="Color "),

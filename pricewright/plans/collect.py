@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright.functions import strings as G
 from pricewright.operators import lookup as L
@@ -112,9 +112,14 @@ PAGE_SPEC = [
 ]
 
 
+# The entities that the stored pages hold, ampersand last.
+PAGE_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+                 ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
+
+
 def _text_sql(x: str) -> str:
     out = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    for entity, char in Q.ENTITIES:
+    for entity, char in PAGE_ENTITIES:
         out = f"replace({out}, '{entity}', '" + char.replace("'", "''") + "')"
     return out
 
@@ -154,6 +159,58 @@ def listing_page_errors(t):
     return errors.groupBy("id", "error_source", F.col("error_cause.error").alias("error")).agg(F.count("*").alias("n"))
 
 
+def listing_pages(t) -> DataFrame:
+    """A listing page for every document: either quote, entities of all kinds, look-alike tags, absent parts."""
+    k, quote = F.col("doc_id"), F.when(F.col("doc_id") % 2 == 0, "'").otherwise('"')
+    number = k.cast("string")
+
+    def tag(name: str, css: str, inside) -> Column:
+        return F.concat(F.lit(f"<{name} data-x=1 class="), quote, F.lit(css), quote, F.lit(">"), inside, F.lit(f"</{name}>\n"))
+
+    def link(target) -> Column:
+        return F.concat(F.lit("<a class=q href="), quote, target, quote, F.lit(">x</a>\n"))
+
+    escaped = F.coalesce("text", F.lit(""))
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        escaped = F.replace(escaped, F.lit(char), F.lit(entity))
+    designer = F.concat(F.lit("/designers/"), F.col("source"))
+    none = F.lit("")
+    html = F.concat(
+        link(designer), link(F.concat(designer, F.lit("/menswear"))), link(F.concat(designer, F.lit("/tops"))),
+        link(F.concat(designer, F.lit("?a=1&amp;b=/"), F.col("lang"))),
+        F.repeat(tag("button", Q.PHOTO_CLASS, none), (k % 5 + 1).cast("int")),
+        tag("h1", Q.TITLE_CLASS, F.concat(F.lit("Caf&#233; &amp;amp; <b>No</b> &#x1F600;&eacute;&unknown; "), number)),
+        tag("path", Q.DETAIL_CLASS, F.lit("Size wrong")), tag("pre", Q.PARAGRAPH_CLASS, F.lit("wrong")),
+        tag("p", Q.DETAIL_CLASS, F.concat(F.lit("Size Men&#39;s / US "), (k % 40).cast("string"))),
+        tag("p", Q.DETAIL_CLASS, F.concat(F.lit("Color <i>"), F.col("lang"), F.lit("</i>"))),
+        F.when(k % 7 == 0, none).otherwise(tag("p", Q.DETAIL_CLASS, F.lit("Condition Gently Used"))),
+        tag("p", Q.PARAGRAPH_CLASS, escaped), tag("p", Q.PARAGRAPH_CLASS, F.lit("end &#8364;")),
+        F.when(k % 3 == 0, none).otherwise(F.concat(link(F.lit("/shop?hashtag=one")), link(F.lit("/shop?hashtag=two")))),
+        F.when(k % 11 == 0, none).otherwise(tag("span", "Money SoldPrice_x", F.concat(F.lit("$"), (k % 900 + 20).cast("string")))),
+    )
+    return t.table("documents").select("doc_id", F.concat(F.lit("https://x.example/listings/"), number, F.lit("-a")).alias("url"), html.alias("html"))
+
+
+@query(
+    "listing_page_values",
+    "DQ1",
+    """SELECT CAST(doc_id AS VARCHAR) AS id, source AS designer, 'menswear' AS department, 'tops' AS category, lang AS subcategory,
+              CAST(doc_id % 5 + 1 AS INTEGER) AS n_photos, 'Café &amp; No 😀é&unknown; ' || doc_id AS item_name,
+              'Men''s / US ' || (doc_id % 40) AS size, lang AS color, CASE WHEN doc_id % 7 <> 0 THEN 'Gently Used' END AS condition,
+              md5(coalesce(text, '') || ' end €') AS description_md5, CASE WHEN doc_id % 3 <> 0 THEN 'one two' END AS hashtags,
+              CASE WHEN doc_id % 11 <> 0 THEN CAST(doc_id % 900 + 20 AS INTEGER) END AS sold_price,
+              CASE WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 THEN 'Failed to scrape listing data: ' ||
+                   concat_ws(', ', CASE WHEN doc_id % 7 = 0 THEN 'condition' END, CASE WHEN doc_id % 11 = 0 THEN 'sold_price' END) END AS message
+       FROM documents""",
+)
+def listing_page_values(t):
+    """All twelve fields of pages with whole texts, and the reasons of the pages that fail."""
+    return Q.extract_listings(listing_pages(t)).select(
+        "id", "designer", "department", "category", "subcategory", "n_photos", "item_name", "size", "color", "condition",
+        F.md5("description").alias("description_md5"), "hashtags", "sold_price", F.col("listing_error.message").alias("message"),
+    )
+
+
 def fetched(t):
     """Pages as fetch outcomes: every seventh listing and every eleventh image failed."""
     k = F.col("page_id")

@@ -46,9 +46,14 @@ def test_unsold_listing_needs_no_price(pages):
     assert rows.where(F.col("listing_error").isNotNull()).count() == 0
 
 
-def test_rare_entities(spark):
-    got = spark.range(1).select(Q.strip_markup(F.lit("<i>caf&eacute;</i> &amp; x"), full_entities=True).alias("x")).first()
-    assert got["x"] == "café & x"
+def test_entities_of_every_kind(spark):
+    cases = {
+        "<i>caf&eacute;</i> &amp; x": "café & x", "&amp;lt;&#38;lt;": "&lt;&lt;", "&#x1F600;&#128512;&#65;": "😀😀A",
+        "&#0;&#xD800;&#1114112;": "\ufffd\ufffd\ufffd", "a & b &nothing; &#; &": "a & b &nothing; &#; &", "": "", "&apos;&quot;&nbsp;.": "'\" .",
+    }
+    got = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, want string").select("t", "want", Q.strip_markup(F.col("t")).alias("x")).collect()
+    assert [r["x"] for r in got] == [r["want"] for r in got]
+    assert spark.range(1).select(Q.strip_markup(F.lit(None).cast("string")).alias("x")).first()["x"] is None
 
 
 def test_route_errors_conserves_rows(spark):
