@@ -17,7 +17,7 @@ def constant_lookup(key: Column, table: dict[str, object], kind: str) -> Column:
     buckets by CRC-32 and only one bucket of a handful of entries is searched.
     """
     if len(table) > MAX_ENTRIES:
-        raise ValueError(f"{len(table)} entries are too many for a constant; join a table instead")
+        raise ValueError(f"{len(table)} entries are too many for a constant; operators.dictionaries takes them as a table")
     buckets = 1
     while buckets * 4 < len(table):
         buckets *= 2

@@ -22,14 +22,14 @@ _TOKENS = (
 
 _IRREGULAR = "CASE w " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in IRREGULAR_NOUNS.items()) + " END"
 
-_SINGULAR = (
-    f"CASE WHEN list_contains({_list(IRREGULAR_NOUNS)}, w) THEN {_IRREGULAR} "
+_PLURAL_RULES = (
     "WHEN length(w) < 4 OR right(w, 1) <> 's' THEN w "
     "WHEN right(w, 2) IN ('ss', 'us', 'is') THEN w "
     "WHEN right(w, 4) IN ('ches', 'shes', 'sses') OR right(w, 3) IN ('xes', 'zes') THEN left(w, length(w) - 2) "
     "WHEN right(w, 3) = 'ies' AND length(w) > 4 THEN left(w, length(w) - 3) || 'y' "
     "ELSE left(w, length(w) - 1) END"
 )
+_SINGULAR = f"CASE WHEN list_contains({_list(IRREGULAR_NOUNS)}, w) THEN {_IRREGULAR} {_PLURAL_RULES}"
 
 
 def clean_tokens_sql(keep: str) -> str:
@@ -44,5 +44,7 @@ TEXT_MACROS = {
     "{all_tokens}": _TOKENS,
     "{alnum_tokens}": clean_tokens_sql("alnum"),
     "{alpha_tokens}": clean_tokens_sql("alpha"),
+    "{alnum_words}": f"list_filter({_TOKENS}, lambda w: regexp_full_match(w, '[\\p{{L}}\\p{{N}}]+'))",
+    "{singular}": f"CASE {_PLURAL_RULES}",
     "{vector_tokens}": "regexp_extract_all(lower(txt), '[\\p{L}\\p{N}_]{2,}')",
 }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions import text as X
 from pricewright.operators import aggregates as A
+from pricewright.operators import dictionaries as D
 from pricewright.operators import lookup as L
 from pricewright.operators import reshape as R
 from pricewright.operators import select as S
@@ -284,6 +285,62 @@ def description_sentiment(t):
     return _sentiment(t)
 
 
+# Dictionaries that hold every word of the documents; a word's entry follows from its MD5.
+def _digit(word, at: int, digits: int):
+    return F.conv(F.substring(F.md5(word), at, digits), 16, 10).cast("int")
+
+
+def _every_word(t, tokens):
+    return t.documents().select(F.explode(tokens).alias("term")).distinct()
+
+
+_TABLE_SENTIMENT_SQL = """WITH tok AS (SELECT id, generate_subscripts(t, 1) AS i, unnest(t) AS token FROM (
+         SELECT doc_id AS id, {all_tokens} AS t FROM (SELECT doc_id, text AS txt FROM documents))),
+       h AS (SELECT id, i, ('0x' || substr(md5(token), 1, 3))::INTEGER AS a, ('0x' || substr(md5(token), 4, 2))::INTEGER AS b FROM tok),
+       m AS (SELECT id, i, CASE WHEN a % 3 = 0 THEN (a % 41 - 20) / 8.0::DOUBLE END AS val,
+                    CASE WHEN b % 7 = 0 THEN (b % 5 - 2) / 8.0::DOUBLE ELSE 0 END AS push, b % 11 = 0 AS turn FROM h),
+       s AS (SELECT id, val, lag(push, 1, 0) OVER w + 0.95 * lag(push, 2, 0) OVER w + 0.9 * lag(push, 3, 0) OVER w AS p,
+                    lag(turn, 1, false) OVER w OR lag(turn, 2, false) OVER w OR lag(turn, 3, false) OVER w AS t
+             FROM m WINDOW w AS (PARTITION BY id ORDER BY i)),
+       z AS (SELECT id, sum(coalesce((val + CASE WHEN val < 0 THEN -p ELSE p END) * CASE WHEN t THEN -0.74 ELSE 1 END, 0)) AS x
+             FROM s GROUP BY 1)
+       SELECT doc_id, round(coalesce(x, 0) / sqrt(coalesce(x, 0) ^ 2 + 15), 8) AS sentiment
+       FROM documents LEFT JOIN z ON doc_id = id"""
+
+
+@query("table_sentiment", "ENC15", _TABLE_SENTIMENT_SQL)
+def table_sentiment(t):
+    """Lexicon, negations and boosters as tables that grow with the documents."""
+    term = F.col("term")
+    every = _every_word(t, X.tokenize(F.col("text")))
+    a, b = _digit(term, 1, 3), _digit(term, 4, 2)
+    lexicon = every.where(a % 3 == 0).select("term", ((a % 41 - 20) / 8.0).alias("valence"))
+    boosters = every.where(b % 7 == 0).select("term", ((b % 5 - 2) / 8.0).alias("push"))
+    docs = t.documents().select("doc_id", "text")
+    scored = D.sentiment_with_tables(docs, "text", lexicon, every.where(b % 11 == 0), boosters)
+    return scored.select("doc_id", F.round("sentiment", 8).alias("sentiment"))
+
+
+@query(
+    "table_cleaned_text",
+    "STR-2",
+    """WITH d AS (SELECT doc_id, {alnum_words} AS ws FROM (SELECT doc_id, text AS txt FROM documents)),
+       c AS (SELECT doc_id, list_transform(list_filter(ws, lambda w: ('0x' || substr(md5(w), 1, 2))::INTEGER % 7 <> 0),
+               lambda w: CASE WHEN ('0x' || substr(md5(w), 3, 2))::INTEGER % 5 = 0 THEN substr(md5(w), 1, 6) ELSE {singular} END) AS ws FROM d)
+       SELECT doc_id, md5(coalesce(nullif(array_to_string(ws, ' '), ''), 'missing')) AS cleaned_md5, len(ws) AS n_words FROM c""",
+)
+def table_cleaned_text(t):
+    """Stop list and lemmas as tables that grow with the documents."""
+    term = F.col("term")
+    every = _every_word(t, X.tokenize(F.col("text")))
+    stops = every.where(_digit(term, 1, 2) % 7 == 0)
+    lemmas = every.where(_digit(term, 3, 2) % 5 == 0).select("term", F.substring(F.md5(term), 1, 6).alias("lemma"))
+    docs = t.documents().select("doc_id", "text")
+    cleaned = D.clean_with_tables(docs, "text", "cleaned", stops, lemmas)
+    n_words = F.when(F.col("cleaned") == "missing", 0).otherwise(F.size(X.words(F.col("cleaned"))))
+    return cleaned.select("doc_id", F.md5("cleaned").alias("cleaned_md5"), n_words.cast("long").alias("n_words"))
+
+
 def _priced_sentiment(t):
     prices = t.described("id", "sold_price").withColumn("id", F.col("id").cast("long"))
     return _sentiment(t).join(prices, "id")
