@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from pricewright.functions.text import clean_text
 from pricewright.operators.quantiles import EXACT_ROWS, order_statistics
-from pricewright.operators.windows import drop_exact_duplicates, take_exact
+from pricewright.operators.windows import drop_exact_duplicates, number_rows
+from pricewright.session import fresh_path
 from pricewright.vocab import TEXT_COLUMNS
 
 PARTS = ("train", "eval", "test")
 
 
-def hash_share(key: Column, seed: int = 42, digits: int = 8) -> Column:
+def hash_share(key: Column, seed: int | Column = 42, digits: int = 8) -> Column:
     """A number in [0, 1) that depends on the key and seed only."""
-    salted = F.concat(key.cast("string"), F.lit(f"#{seed}"))
+    salted = F.concat(key.cast("string"), F.lit("#"), F.lit(seed).cast("string"))
     return F.conv(F.substring(F.md5(salted), 1, digits), 16, 10).cast("double") / F.lit(float(16**digits))
 
 
@@ -53,6 +54,39 @@ def split_exact(
     return df.where(u < a), df.where((u >= a) & (u < b)), df.where(u >= b)
 
 
+def write_datasets(
+    df: DataFrame,
+    n: int | None,
+    key: str = "id",
+    columns=TEXT_COLUMNS,
+    shares: tuple[float, ...] = (0.6, 0.2, 0.2),
+    seed: int = 42,
+) -> tuple[DataFrame, dict[str, int]]:
+    """(all prepared rows with their ``part``, rows of each part), cleaned and written in one job.
+
+    The parts are folders of one table; their sizes are observed while it is
+    written. With ``n`` the first n rows in order of the key are taken, and a
+    table that has fewer is an error; equal keys are ordered by the other columns.
+    """
+    rows = drop_exact_duplicates(df)
+    if n is not None:
+        others = [f.name for f in df.schema if f.name != key and f.dataType.typeName() not in ("map", "variant")]
+        rows = number_rows(rows, [key, *others], "__place").where(F.col("__place") < n).drop("__place")
+    cleaned = rows.withColumns({c: clean_text(F.col(c)) for c in columns})
+    seen = Observation("datasets")
+    sizes = [F.count_if(F.col("part") == p).alias(p) for p in PARTS]
+    # label and sizes are worked out in the writing tasks; nothing is read twice
+    labelled = cleaned.withColumn("part", split_label(F.col(key), shares, seed)).observe(seen, *sizes)
+    path = fresh_path(df.sparkSession, "datasets")
+    labelled.write.partitionBy("part").parquet(path)
+    counted = {p: seen.get[p] for p in PARTS}
+    if n is not None and sum(counted.values()) != n:
+        raise ValueError(f"asked for {n} rows, the table has {sum(counted.values())}")
+    if not any(counted.values()):  # a table without files has no folders to read
+        return labelled.where("false"), counted
+    return df.sparkSession.read.schema(labelled.schema).parquet(path), counted
+
+
 def prepare_datasets(
     df: DataFrame,
     n: int | None,
@@ -63,8 +97,8 @@ def prepare_datasets(
     exact: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Deduplicate, take the first n rows (all when n is None), clean the text and split."""
-    rows = drop_exact_duplicates(df)
-    if n is not None:
-        rows = take_exact(rows, n, [key])
-    cleaned = rows.withColumns({c: clean_text(F.col(c)) for c in columns})
-    return (split_exact if exact else split)(cleaned, key, shares, seed)
+    table, _ = write_datasets(df, n, key, columns, shares, seed)
+    if exact:
+        # the cuts are found over the written keys; the texts are not cleaned again
+        return split_exact(table.drop("part"), key, shares, seed)
+    return tuple(table.where(F.col("part") == p).drop("part") for p in PARTS)
