@@ -5,15 +5,20 @@ from __future__ import annotations
 import itertools
 import json
 from collections.abc import Iterator
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewright.functions.numeric import whole_price
 from pricewright.functions.strings import iso_timestamp, prediction_id
 from pricewright.functions.text import clean_text
-from pricewright.operators.models import FittedPriceModel, PriceModel
+from pricewright.operators.aggregates import evaluate
+from pricewright.operators.models import LOG_TARGET, PRICE, TARGET, FittedPriceModel, PriceModel
 from pricewright.operators.quality import validate
 from pricewright.operators.reshape import nest_config
+from pricewright.session import materialize
 from pricewright.vocab import TEXT_COLUMNS
 
 DEFAULTS = {"use_tab_features": True, "use_text_features": False, "estimator_class": "lr"}
@@ -37,15 +42,46 @@ def model_of(name: str, config: dict) -> PriceModel:
     )
 
 
+IN_TRAINING = "__in_training"
+
+
+def _labelled(train: DataFrame, eval_: DataFrame) -> DataFrame:
+    return train.withColumn(IN_TRAINING, F.lit(True)).unionByName(eval_.withColumn(IN_TRAINING, F.lit(False)))
+
+
+def feature_setting(model: PriceModel) -> str:
+    """Names the features of a model: models of one setting share their fitted stages and rows."""
+    if model.estimator_class == "c-median":
+        return "none"
+    used = [model.transformer_params if model.use_tab_features else None, model.extractor_params if model.use_text_features else None]
+    return json.dumps(used, sort_keys=True, default=list)
+
+
+def featured(model: PriceModel, labelled: DataFrame) -> tuple[list, DataFrame]:
+    """(feature stages fitted on the training rows, written rows of both parts with their features)."""
+    fitted = Pipeline(stages=model.pipeline().getStages()[:-2]).fit(labelled.where(IN_TRAINING))
+    rows = fitted.transform(labelled)
+    kept = [c for c in ("id", TARGET, LOG_TARGET, "__features", IN_TRAINING) if c in rows.columns]
+    return fitted.stages, materialize(rows.select(*kept), "features")
+
+
+def run_with_features(name: str, model: PriceModel, config: dict, stages: list, rows: DataFrame) -> tuple[FittedPriceModel, tuple]:
+    """Fit the estimator on prepared features and measure both parts in one aggregate; (model, run row)."""
+    regressor, price = model.pipeline().getStages()[-2:]
+    fitted = FittedPriceModel(model, PipelineModel([*stages, regressor.fit(rows.where(IN_TRAINING)), price]))
+    priced = rows
+    for stage in fitted.pipeline.stages[-2:]:
+        priced = stage.transform(priced)
+    found = {r[IN_TRAINING]: (r["rmsle"], r["wape"]) for r in evaluate(priced, TARGET, PRICE, [IN_TRAINING], rounded=True).collect()}
+    on_train, on_eval = (found.get(part, (None, None)) for part in (True, False))
+    settings = (json.dumps(config, sort_keys=True), model.estimator_class, model.use_tab_features, model.use_text_features)
+    return fitted, (name, *settings, *on_train, *on_eval)
+
+
 def run_experiment(name: str, train: DataFrame, eval_: DataFrame, config: dict) -> tuple[FittedPriceModel, DataFrame]:
     """Fit on train, measure on both parts; (fitted model, one run row)."""
-    fitted = model_of(name, config).fit(train)
-    on_train, on_eval = fitted.evaluate(train), fitted.evaluate(eval_)
-    spec = fitted.spec
-    row = (
-        name, json.dumps(config, sort_keys=True), spec.estimator_class, spec.use_tab_features, spec.use_text_features,
-        on_train["rmsle"], on_train["wape"], on_eval["rmsle"], on_eval["wape"],
-    )
+    model = model_of(name, config)
+    fitted, row = run_with_features(name, model, config, *featured(model, _labelled(train, eval_)))
     return fitted, train.sparkSession.createDataFrame([row], RUN_SCHEMA)
 
 
@@ -61,18 +97,39 @@ def grid(lists: dict[str, list], constants: dict | None = None) -> Iterator[dict
         yield config
 
 
-def run_sweep(train: DataFrame, eval_: DataFrame, lists: dict[str, list], constants: dict | None = None) -> DataFrame:
-    """Run rows of a whole grid; the two parts are cached because every run reads them."""
-    train, eval_ = train.persist(), eval_.persist()
-    try:
-        runs = [run_experiment(f"run-{i}", train, eval_, c)[1] for i, c in enumerate(grid(lists, constants))]
-    finally:
-        train.unpersist()
-        eval_.unpersist()
-    out = runs[0]
-    for run in runs[1:]:
-        out = out.unionByName(run)
-    return out
+def run_sweep(
+    train: DataFrame, eval_: DataFrame, lists: dict[str, list], constants: dict | None = None, at_once: int = 4
+) -> DataFrame:
+    """Run rows of a whole grid, in its order; a grid without runs gives none.
+
+    Features are fitted and computed once for each feature setting and written;
+    the runs over them go ``at_once`` at a time, each in a scheduler pool of its
+    own, which share the executors evenly where ``spark.scheduler.mode`` is FAIR.
+    """
+    spark = train.sparkSession
+    models = [(f"run-{i}", c, model_of(f"run-{i}", c)) for i, c in enumerate(grid(lists, constants))]
+    labelled = materialize(_labelled(train, eval_), "sweep-rows")
+    by_setting = {feature_setting(m): m for _, _, m in models}
+
+    def pooled(work):
+        def run(task: tuple[int, object]):
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"sweep-{task[0] % at_once}")
+            return work(task[1])
+
+        # the thread of the caller passes on its local properties
+        return inheritable_thread_target(spark)(run)
+
+    def features(setting: str):
+        return setting, featured(by_setting[setting], labelled)
+
+    def fit(entry: tuple[str, dict, PriceModel]) -> tuple:
+        name, config, model = entry
+        return run_with_features(name, model, config, *shared[feature_setting(model)])[1]
+
+    with ThreadPool(at_once) as pool:
+        shared = dict(pool.map(pooled(features), list(enumerate(by_setting)), chunksize=1))
+        rows = pool.map(pooled(fit), list(enumerate(models)), chunksize=1)
+    return spark.createDataFrame(rows, RUN_SCHEMA)
 
 
 # The configuration that the experiments ended with.

@@ -241,7 +241,7 @@ def exact_split(t):
 
 @query(
     "prepared_datasets",
-    "ML2 SET1 LIM1 STR-2 PRJ3",
+    "ML2 SET1 STR-2 PRJ3",
     """WITH d AS {described},
        c AS (SELECT id, feature, coalesce(nullif(array_to_string({alnum_tokens}, ' '), ''), 'missing') AS cleaned FROM (
                SELECT id, 'item_name' AS feature, item_name AS txt FROM d UNION ALL SELECT id, 'description', description FROM d
@@ -254,10 +254,24 @@ def exact_split(t):
        FROM (SELECT id, sold_price, ('0x' || substr(md5(id || '#42'), 1, 8))::BIGINT / 4294967296.0 AS u FROM d) JOIN w USING (id)""",
 )
 def prepared_datasets(t):
-    parts = P.prepare_datasets(t.described("id", "sold_price", *TEXT_COLUMNS), None)
-    tagged = [p.withColumn("dataset", F.lit(name)) for name, p in zip(P.PARTS, parts)]
-    rows = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
-    return rows.select("id", "sold_price", F.md5(F.concat_ws("|", *TEXT_COLUMNS)).alias("text_md5"), "dataset")
+    rows, _ = P.write_datasets(t.described("id", "sold_price", *TEXT_COLUMNS), None)
+    return rows.select("id", "sold_price", F.md5(F.concat_ws("|", *TEXT_COLUMNS)).alias("text_md5"), F.col("part").alias("dataset"))
+
+
+@query(
+    "first_prepared_datasets",
+    "ML2 LIM1 SET1",
+    f"""WITH d AS (SELECT o_orderkey, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 1000),
+       p AS (SELECT *, CASE WHEN u < 0.6 THEN 'train' WHEN u < 0.8 THEN 'eval' ELSE 'test' END AS part
+             FROM (SELECT *, {_SHARE} AS u FROM d))
+       SELECT o_orderkey, o_orderpriority, part, count(*) OVER (PARTITION BY part) AS part_rows FROM p""",
+)
+def first_prepared_datasets(t):
+    """The first thousand orders, repeated rows dropped, with the sizes observed while the parts were written."""
+    orders = t.table("orders").select("o_orderkey", "o_orderpriority")
+    rows, sizes = P.write_datasets(orders.unionByName(orders), 1000, "o_orderkey", ())
+    counted = F.coalesce(*[F.when(F.col("part") == p, n) for p, n in sizes.items()])
+    return rows.withColumn("part_rows", counted.cast("long"))
 
 
 _PAIRS_SQL = """n AS (SELECT q.vec_id AS query_id, t.vec_id, t.label,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from pricewright.operators import experiments as X
 from pricewright.operators import splits as P
 from pricewright.operators.models import FittedPriceModel, PriceModel
+from pricewright.operators.ordered_codes import OrderedTargetEncoder, ordered_codes
+from pricewright.operators.regressors import tree_estimator
 from pricewright.operators.text_plan import TextPlan
 from pricewright.plans.registry import query
 from pricewright.plans.views import request_rows
-from pricewright.session import fresh_path
+from pricewright.session import fresh_path, materialize
 from pricewright.sources.writers import only_new
 from pricewright.streaming import flows
 
@@ -93,6 +96,83 @@ def feature_sweep(t):
     return X.run_sweep(train, eval_, lists)
 
 
+_ONE_FEATURE_SQL = """WITH d AS (SELECT *, ('0x' || substr(md5(id || '#42'), 1, 8))::BIGINT / 4294967296.0 AS u, ln(1 + sold_price) AS y
+            FROM {described}),
+       f AS (SELECT 'designer' AS feature, designer AS category, u < 0.6 AS train, sold_price, y FROM d WHERE u < 0.8
+             UNION ALL SELECT 'color', color, u < 0.6, sold_price, y FROM d WHERE u < 0.8
+             UNION ALL SELECT 'category', category, u < 0.6, sold_price, y FROM d WHERE u < 0.8),
+       q AS (SELECT avg(y) AS prior, quantile_cont(y, 0.5) AS med FROM d WHERE u < 0.6),
+       s AS (SELECT feature, category, count(*) AS n, sum(y) AS total, 1 / (1 + exp(-(count(*) - 20) / 10.0::DOUBLE)) AS w
+             FROM f WHERE train GROUP BY ALL),
+       x AS (SELECT f.*, coalesce(prior * (1 - w) + total / n * w, prior) AS x FROM f LEFT JOIN s USING (feature, category), q),
+       m AS (SELECT feature, avg(x) AS xm, avg(y) AS ym, covar_pop(y, x) AS c, var_pop(x) AS v, count(*) AS n FROM x WHERE train GROUP BY 1),
+       k AS (SELECT feature, xm, ym, estimator_class,
+                    CASE estimator_class WHEN 'lr' THEN c / v WHEN 'ridge' THEN c * n / (v * n + 0.01)
+                         WHEN 'lasso' THEN sign(c) * greatest(abs(c) - 0.01, 0) / v END AS slope
+             FROM m, (VALUES ('c-median'), ('lr'), ('ridge'), ('lasso')) e(estimator_class)),
+       p AS (SELECT estimator_class, feature, train, sold_price,
+                    exp(CASE estimator_class WHEN 'c-median' THEN med ELSE ym + slope * (x - xm) END) - 1 AS p
+             FROM x JOIN k USING (feature), q),
+       e AS (SELECT estimator_class, feature, train, round_even(sqrt(avg(pow(ln(1 + sold_price) - ln(1 + p), 2))), 3) AS rmsle,
+                    round_even(sum(abs(sold_price - p)) / sum(sold_price), 2) AS wape FROM p GROUP BY ALL)
+       SELECT estimator_class, feature, max(rmsle) FILTER (WHERE train) AS rmsle_train, max(wape) FILTER (WHERE train) AS wape_train,
+              max(rmsle) FILTER (WHERE NOT train) AS rmsle_eval, max(wape) FILTER (WHERE NOT train) AS wape_eval FROM e GROUP BY ALL"""
+
+
+@query("one_feature_sweep", "ML9 ML8 ML3 ML7 ENC6 ENC11", _ONE_FEATURE_SQL)
+def one_feature_sweep(t):
+    """Twelve runs over three feature settings of one encoded column each, whose fits have closed forms."""
+    train, eval_ = _parts(t, *TABULAR)
+    lists = {"estimator_class": ["c-median", "lr", "ridge", "lasso"], "transformer_params.te_cols": [["designer"], ["color"], ["category"]]}
+    others = {f"transformer_params.{kind}_cols": [] for kind in ("numeric", "ohe", "oe")}
+    runs = X.run_sweep(train, eval_, lists, {**others, "estimator_params.alpha": 0.01})
+    feature = F.get_json_object("config", "$['transformer_params.te_cols'][0]")
+    return runs.select("estimator_class", feature.alias("feature"), "rmsle_train", "wape_train", "rmsle_eval", "wape_eval")
+
+
+def _ordered_parts(t):
+    train, _, test = P.split(t.described(*TABULAR), "id")
+    train = train.withColumn("log_price", F.log1p("sold_price"))
+    return train, test, OrderedTargetEncoder(["designer", "color", "size", "subcategory"])
+
+
+_ORDERED_SQL = """WITH d AS (SELECT *, ln(1 + sold_price) AS y, ('0x' || substr(md5(id || '#42'), 1, 8))::BIGINT / 4294967296.0 AS u FROM {described}),
+       f AS (SELECT id, y, unnest(['designer', 'color', 'size', 'subcategory']) AS feature,
+                    unnest([designer, color, size, subcategory]) AS category FROM d WHERE u < 0.6),
+       q AS (SELECT avg(y) AS prior FROM d WHERE u < 0.6),
+       o AS (SELECT f.*, k AS permutation, substr(md5(id || '#' || (42 + k)), 1, 13) AS place FROM f, range(4) r(k))
+       SELECT id, feature, permutation, round((coalesce(sum(y) OVER w, 0) + prior) / (count(*) OVER w + 1), 8) AS code FROM o, q
+       WINDOW w AS (PARTITION BY feature, category, permutation ORDER BY place, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+@query("ordered_target_codes", "ML5 ENC8", _ORDERED_SQL)
+def ordered_target_codes(t):
+    """The codes of every training row in each of four orders."""
+    train, _, encoder = _ordered_parts(t)
+    codes = ordered_codes(train, encoder.columns, "log_price", "id", encoder.permutations, encoder.a, encoder.seed)
+    return codes.select(F.col("key").alias("id"), "feature", F.col("permutation").cast("long").alias("permutation"), F.round("code", 8).alias("code"))
+
+
+@query(
+    "ordered_boosting",
+    "ML5 ENC8",
+    """SELECT id, true AS is_priced, true AS fits_better_than_mean FROM {described}
+       WHERE ('0x' || substr(md5(id || '#42'), 1, 8))::BIGINT / 4294967296.0 >= 0.8""",
+)
+def ordered_boosting(t):
+    """A hundred trees over ordered codes; test rows carry the codes of all training rows."""
+    train, test, encoder = _ordered_parts(t)
+    coded = encoder.fit(train, "log_price", "id")
+    columns = ["n_photos", *[f"{c}_enc" for c in encoder.columns]]
+    vectors = VectorAssembler(inputCols=columns, outputCol="features")
+    rows = materialize(vectors.transform(coded.training(train)).select("features", "log_price"), "boosting-rows")
+    model = tree_estimator("catboost", {"n_estimators": 100}, {"featuresCol": "features", "labelCol": "log_price"}).fit(rows)
+    gap = F.col("log_price") - F.col("prediction")
+    fit = model.transform(rows).agg((F.avg(gap * gap) < F.var_pop("log_price")).alias("fits_better_than_mean"))
+    priced = model.transform(vectors.transform(coded.transform(test))).select("id", (F.expm1("prediction") > 0).alias("is_priced"))
+    return priced.crossJoin(F.broadcast(fit))  # one row
+
+
 def _small_model(t, name: str = "ridge") -> FittedPriceModel:
     train, _ = _parts(t, *TABULAR, *TEXTUAL)
     return PriceModel(name, "ridge").fit(train)

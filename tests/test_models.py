@@ -142,3 +142,33 @@ def test_a_stage_without_metadata_does_not_load(spark, listings, tmp_path):
     assert again.fitted.names() == stage.fitted.names()
     a, b = ({r["id"]: r["v"] for r in s.transform(listings).collect()} for s in (stage, again))
     assert a == b
+
+
+def test_sweeps_share_features_and_keep_the_order_of_the_grid(listings, monkeypatch):
+    train, eval_, _ = P.split(listings, "id")
+    made = []
+    featured = X.featured
+    monkeypatch.setattr(X, "featured", lambda model, rows: made.append(X.feature_setting(model)) or featured(model, rows))
+    lists = {"estimator_class": ["c-median", "ridge", "lr"], "transformer_params.te_cols": [["designer"], ["color"]]}
+    runs = X.run_sweep(train, eval_, lists).collect()
+    assert [r["run"] for r in runs] == [f"run-{i}" for i in range(6)]
+    assert sorted(made) == sorted(set(made)) and len(made) == 3
+    monkeypatch.undo()
+    alone = X.run_experiment("one", train, eval_, {"estimator_class": "ridge", "transformer_params.te_cols": ["color"]})[1].first()
+    assert [alone[c] for c in ("rmsle_train", "wape_train", "rmsle_eval", "wape_eval")] == [runs[3][c] for c in ("rmsle_train", "wape_train", "rmsle_eval", "wape_eval")]
+    assert X.run_sweep(train, eval_, {"estimator_class": ["lr"], "use_tab_features": [False]}).collect() == []
+
+
+def test_prepared_parts_are_counted_while_written(spark):
+    df = spark.createDataFrame([(i % 300, f"red shirts {i % 300}", None) for i in range(600)], "id long, description string, note string")
+    rows, sizes = P.write_datasets(df, 250, columns=("description",))
+    assert sum(sizes.values()) == 250
+    assert {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.count("*").alias("n")).collect()} == sizes
+    assert sorted(r["id"] for r in rows.collect()) == list(range(250))
+    assert {r["description"] for r in rows.where("id = 7").collect()} == {"red shirt 7"}
+    with pytest.raises(ValueError, match="301"):
+        P.write_datasets(df, 301, columns=("description",))
+    parts = P.prepare_datasets(df, None, columns=("description",), exact=True)
+    assert [p.count() for p in parts] == [180, 60, 60]
+    none, sizes = P.write_datasets(df.where("false"), None, columns=("description",))
+    assert none.collect() == [] and sizes == {"train": 0, "eval": 0, "test": 0}
