@@ -8,6 +8,7 @@ from pricewright.plans.registry import query
 from pricewright.schemas import LISTINGS
 from pricewright.session import fresh_path
 from pricewright.sources import readers, writers
+from pricewright.sources.image_files import write_image_files
 
 _LISTING_SQL = """SELECT id, parsing_date, designer, department, category, subcategory, n_photos, md5(item_name) AS item_md5,
        size, color, condition, md5(description) AS text_md5, nullif(hashtags, 'missing') AS hashtags, sold_price
@@ -56,7 +57,7 @@ def listing_table_after_batches(t):
 
 @query(
     "image_archive",
-    "SNK4 SRC5",
+    "SNK4",
     "SELECT doc_id || '.webp' AS name, strlen(text)::BIGINT AS bytes FROM documents",
 )
 def image_archive(t):
@@ -69,6 +70,21 @@ def image_archive(t):
     return t.spark.read.parquet(path).select("name", F.length("content").cast("long").alias("bytes"))
 
 
+@query(
+    "image_files",
+    "SRC5 SNK4 JOI3",
+    "SELECT doc_id || '.webp' AS name, strlen(text)::BIGINT AS bytes, md5(text) AS content_md5 FROM documents WHERE strlen(text) > 0",
+)
+def image_files(t):
+    """Two overlapping batches stored as a file each, read by the binary file source."""
+    path = fresh_path(t.spark, "image-files")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".webp")).alias("name")
+    rows = t.documents().select(name, F.col("text").cast("binary").alias("content"), "doc_id")
+    write_image_files(rows.where("doc_id % 2 = 0"), path)
+    write_image_files(rows, path)
+    return readers.read_images(t.spark, path).select("name", F.length("content").cast("long").alias("bytes"), F.md5("content").alias("content_md5"))
+
+
 @query(
     "request_log_table",
     "SNK6 SRC6 AGG14",

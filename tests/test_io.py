@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 from pricewright.operators.select import transform_listings
 from pricewright.schemas import LISTINGS, REQUESTS
 from pricewright.sources import readers, writers
+from pricewright.sources.image_files import write_image_files
 from pricewright.streaming import flows
 
 DAY = datetime.date(2024, 1, 1)
@@ -190,3 +191,21 @@ def test_usage_updates_add_up(spark, tmp_path):
     agree(45)
     flows.compact_usage(spark, out, f"{tmp_path}/compact")
     assert spark.read.parquet(f"{tmp_path}/compact").count() == flows.read_usage(spark, out).count()
+
+
+def test_image_files(spark, tmp_path):
+    schema = "name string, content binary, page int"
+    long = bytes(range(256)) * 5_000
+    batch = spark.createDataFrame([("a.webp", b"one", 1), ("b c.webp", None, 2), ("a.webp", b"two", 3), ("d.png", long, 4)], schema)
+    path = f"{tmp_path}/images"
+    write_image_files(batch, path)
+    stored = {r["name"]: bytes(r["content"]) for r in readers.read_images(spark, path, "*").collect()}
+    assert stored == {"a.webp": b"one", "d.png": long}
+    assert {f: os.path.getsize(f"{path}/{f}") for f in os.listdir(path)} == {"a.webp": 3, "b c.webp": 0, "d.png": len(long)}
+    # stored images stay as they are; a batch without rows adds none
+    write_image_files(spark.createDataFrame([("a.webp", b"new", 1), ("e.webp", b"five", 1)], schema), path)
+    write_image_files(batch.where("false"), path)
+    assert {r["name"]: bytes(r["content"]) for r in readers.read_images(spark, path).collect()} == {"a.webp": b"one", "e.webp": b"five"}
+    for name in (None, "", "../up.webp", "_hidden", ".hidden"):
+        with pytest.raises(Exception, match="no name for an image file"):
+            write_image_files(spark.createDataFrame([(name, b"x", 1)], schema), path)
