@@ -29,12 +29,13 @@ def order_statistics(values: DataFrame, ranks: list[int], exact_rows: int = EXAC
     only the bin that holds a wanted rank, so the range shrinks a thousandfold
     per scan until the bin is a single value or few enough rows to sort.
     """
-    # infinite values have no width to divide: they are counted apart, at either end
-    low, high = F.col("v") == float("-inf"), F.col("v") == float("inf")
-    finite = F.when(~low & ~high, F.col("v"))
+    # infinite values and NaN, the greatest of all, have no width to divide: they are counted apart
+    low, high, nan = F.col("v") == float("-inf"), F.col("v") == float("inf"), F.isnan("v")
+    finite = F.when(~low & ~high & ~nan, F.col("v"))
     first = values.agg(F.min(finite), F.max(finite), F.count(finite), F.count_if(low), F.count_if(high)).first()
-    lowest, inside = first[3], first[2]
-    found: dict[int, float] = {r: float("-inf") for r in ranks if r < lowest} | {r: float("inf") for r in ranks if r >= lowest + inside}
+    inside, lowest, highest = first[2], first[3], first[4]
+    found: dict[int, float] = {r: float("-inf") for r in ranks if r < lowest}
+    found |= {r: float("inf") if r < lowest + inside + highest else float("nan") for r in ranks if r >= lowest + inside}
     middle = sorted({r for r in ranks if lowest <= r < lowest + inside})
     pending: dict[tuple[float, float, int, int], list[int]] = {(first[0], first[1], lowest, inside): middle} if middle else {}
     while pending:

@@ -23,6 +23,15 @@ def test_quantiles_by_narrowing(spark, exact_rows):
         assert got[q] == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
 
 
+@pytest.mark.parametrize("exact_rows", [5, 10_000])
+def test_quantiles_with_infinite_values_and_nan(spark, exact_rows):
+    inf, nan = float("inf"), float("nan")
+    values = [-inf] * 3 + [float(i) for i in range(14)] + [inf] * 2 + [nan] * 2 + [None]
+    df = spark.createDataFrame([(v,) for v in values], "sold_price double").repartition(3)
+    got = quantiles(df, [0.0, 0.25, 0.5, 0.9, 1.0], exact_rows=exact_rows)
+    assert [got[q] for q in (0.0, 0.25, 0.5, 0.9)] == [-inf, 2.0, 7.0, inf] and math.isnan(got[1.0])
+
+
 def test_quantiles_of_nothing_and_of_absent_column(spark):
     empty = spark.createDataFrame([], "sold_price int")
     assert quantiles(empty, [0.5]) == {0.5: None}
