@@ -209,3 +209,18 @@ def test_image_files(spark, tmp_path):
     for name in (None, "", "../up.webp", "_hidden", ".hidden"):
         with pytest.raises(Exception, match="no name for an image file"):
             write_image_files(spark.createDataFrame([(name, b"x", 1)], schema), path)
+
+
+def test_streams_read_tables_stored_as_folders(spark, tmp_path):
+    from pricewright.plans.views import Tables
+
+    rows = spark.range(20).withColumn("text", F.lit("x"))
+    rows.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    rows.write.parquet(f"{tmp_path}/single")
+    part = next(p for p in (tmp_path / "single").iterdir() if p.name.endswith(".parquet"))
+    (tmp_path / "events.parquet").write_bytes(part.read_bytes())
+    tables = Tables(spark, str(tmp_path))
+    for name in ("documents", "events"):
+        out = f"{tmp_path}/out-{name}"
+        flows.append_stream(tables.stream(name), out, f"{tmp_path}/checkpoint-{name}").awaitTermination()
+        assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == sorted(r["id"] for r in tables.table(name).collect())
