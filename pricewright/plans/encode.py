@@ -311,7 +311,7 @@ def approximate_neighbours(t):
     exact = materialize(nearest(train, asked, 5, train_key="vec_id", block=100), "exact-neighbours")
     found = approximate_nearest(train, asked, 5, train_key="vec_id")
     bucket = suggested_bucket(train, 5, "vec_id")
-    compared = candidate_pairs(train, asked, "vec_id", "query_id", "vector", bucket, 8).agg(F.count("*").alias("compared"))
+    compared = candidate_pairs(train, asked, "vec_id", "query_id", "vector", bucket, 8, counted=True).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("compared"))
     every = train.agg(F.count("*").alias("rows")).crossJoin(asked.agg(F.count("*").alias("asked")))  # one row each
     measured = recall(found, exact, "query_id", "vec_id").crossJoin(compared).crossJoin(every)
     farthest = exact.agg(F.round(F.max("distance"), 9).alias("farthest"))

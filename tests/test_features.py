@@ -237,6 +237,30 @@ def test_nearest_matches_brute_force(spark, block):
     assert predicted == pytest.approx({q: np.mean([t for _, t in v]) for q, v in expected.items()})
 
 
+@pytest.mark.parametrize("rows", [16, 8192])
+def test_nearest_compares_slices_that_no_cell_prunes(spark, monkeypatch, rows):
+    """Rows go to tasks by slices, however small the block of one product is; great and tiny values keep their order."""
+    monkeypatch.setattr(KNN, "SLICE_ROWS", rows)
+    rng = np.random.default_rng(8)
+    points = rng.standard_normal((300, 8))
+    points[:3] *= 1e100
+    points[3:9] = points[3] + np.arange(6)[:, None] * 1e-9
+    train = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id int, vector array<double>")
+    query = train.where("id < 40").withColumnRenamed("id", "query_id")
+    sent = []
+    compare = KNN._Slices.compare
+    monkeypatch.setattr(KNN._Slices, "compare", lambda self, listed, *rest: sent.append((self.number, listed.count())) or compare(self, listed, *rest))
+    got = {}
+    for r in nearest(train, query, 5, block=2).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["id"])
+    for i, q in enumerate(points[:40]):
+        d = np.sqrt(((points - q) ** 2).sum(1))
+        assert got[i] == sorted(range(300), key=lambda t: (d[t], t))[:5]
+    assert sent[0][0] <= 2 * (300 // rows + 1) + 8 and sent[0][1] <= 40 * sent[0][0]
+    pairs = [KNN.candidate_pairs(train, query, "id", "query_id", "vector", 1.0, 4, counted=c) for c in (False, True)]
+    assert pairs[0].count() == pairs[0].distinct().count() == pairs[1].agg(F.sum("pairs")).first()[0]
+
+
 def test_nearest_with_fewer_rows_than_k(spark):
     train = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id int, vector array<double>")
     query = spark.createDataFrame([(9, [0.2])], "query_id int, vector array<double>")
