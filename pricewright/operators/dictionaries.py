@@ -2,7 +2,7 @@
 
 The constant forms (``functions.text``, ``text_features.sentiment``) carry a short
 dictionary inside the expression. Here the words of every distinct text become
-rows, meet the dictionary by a join and return to their text by its SHA-256, so
+rows, meet the dictionary by a join and return to their text by its number, so
 neither the driver nor a task holds the dictionary. The most frequent words, which
 would be the hot keys of that join, go by a broadcast of bounded size.
 
@@ -20,7 +20,7 @@ from pricewright.operators.text_features import HOT_BYTES, HOT_TERMS, join_terms
 from pricewright.session import materialize
 from pricewright.vocab import BOOSTERS, NEGATIONS, PLACEHOLDER, STOP_WORDS, values_table
 
-DIGEST = "__digest"
+DIGEST, NUMBER = "__digest", "__number"
 #: Share of a booster one, two and three words before the valence.
 SHARES = (1.0, 0.95, 0.9)
 
@@ -30,10 +30,14 @@ def _digest(text: str) -> Column:
 
 
 def word_rows(df: DataFrame, text: str, tokens: Column) -> DataFrame:
-    """(digest, at, term) of the words of each distinct text, as a written table."""
+    """(number, digest, at, term) of the words of each distinct text, as a written table.
+
+    Words carry the short number of their text; the digest stands beside the first word only.
+    """
     texts = df.select(_digest(text).alias(DIGEST), tokens.alias("t")).where(F.size("t") > 0)
-    once = texts.groupBy(DIGEST).agg(F.first("t").alias("t"))
-    return materialize(once.select(DIGEST, F.posexplode("t").alias("at", "term")), "words")
+    once = texts.groupBy(DIGEST).agg(F.first("t").alias("t")).withColumn(NUMBER, F.monotonically_increasing_id())
+    rows = once.select(NUMBER, DIGEST, F.posexplode("t").alias("at", "term"))
+    return materialize(rows.withColumn(DIGEST, F.when(F.col("at") == 0, F.col(DIGEST))), "words")
 
 
 def look_up(cells: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -55,9 +59,10 @@ def look_up(cells: DataFrame, dictionary: DataFrame) -> DataFrame:
     return found.unionByName(cells.join(names, "term", "left_anti").join(rare, "term").select(*columns))
 
 
-def _back(df: DataFrame, text: str, table: DataFrame, value: Column, output: str) -> DataFrame:
-    """The rows of ``df`` with a value made from the table's columns for their text."""
+def _back(df: DataFrame, text: str, cells: DataFrame, table: DataFrame, value: Column, output: str) -> DataFrame:
+    """The rows of ``df`` with a value made from the table's columns for the number of their text."""
     kept = [F.col(f"`{c}`") for c in df.columns if c != output]
+    table = cells.where(F.col("at") == 0).select(DIGEST, NUMBER).join(table, NUMBER).drop(NUMBER)
     return df.withColumn(DIGEST, _digest(text)).join(table, DIGEST, "left").select(*kept, value.alias(output))
 
 
@@ -86,10 +91,10 @@ def clean_with_tables(
     cells = word_rows(df, text, words(F.regexp_replace(normalize(F.col(f"`{text}`")), REJECT[keep], " ")))
     # the rules come after the join, once for each kept word
     rules = singular(F.col("term"), None if lemmas is None else {})
-    kept = look_up(cells, dictionary).where(F.col("stop").isNull()).select(DIGEST, "at", F.coalesce("lemma", rules).alias("word"))
-    listed = kept.groupBy(DIGEST).agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("listed"))
-    joined = listed.select(DIGEST, F.array_join(F.col("listed.word"), " ").alias("__cleaned"))
-    return _back(df, text, joined, F.coalesce(F.nullif("__cleaned", F.lit("")), F.lit(placeholder)), output)
+    kept = look_up(cells.drop(DIGEST), dictionary).where(F.col("stop").isNull()).select(NUMBER, "at", F.coalesce("lemma", rules).alias("word"))
+    listed = kept.groupBy(NUMBER).agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("listed"))
+    joined = listed.select(NUMBER, F.array_join(F.col("listed.word"), " ").alias("__cleaned"))
+    return _back(df, text, cells, joined, F.coalesce(F.nullif("__cleaned", F.lit("")), F.lit(placeholder)), output)
 
 
 def _rules(spark, given: DataFrame | None, default: dict, name: str, kind: str) -> DataFrame:
@@ -126,9 +131,9 @@ def sentiment_with_tables(
     dictionary = entries.groupBy("term").agg(*[F.max(c).alias(c) for c in columns])
     cells = word_rows(df, text, tokenize(F.col(f"`{text}`")))
     counted = cells.groupBy("term").agg(F.count("*").alias("df"))
-    listed = join_terms(cells, materialize(dictionary.join(counted, "term"), "listed-words"))
+    listed = join_terms(cells.drop(DIGEST), materialize(dictionary.join(counted, "term"), "listed-words"))
 
-    in_order = Window.partitionBy(DIGEST).orderBy("at")
+    in_order = Window.partitionBy(NUMBER).orderBy("at")
     push, turned = F.lit(0.0), F.lit(False)
     before = [f"__before_{k}" for k in range(1, len(SHARES) + 1)]
     listed = listed.withColumns({c: F.lag(F.struct("at", "push", "turns"), k).over(in_order) for k, c in enumerate(before, 1)})
@@ -139,7 +144,7 @@ def sentiment_with_tables(
         turned = turned | F.coalesce(F.col(f"{c}.turns") & (away <= len(SHARES)), F.lit(False))
     v = F.col("valence")
     value = (v + F.when(v < 0, -push).otherwise(push)) * F.when(turned, F.lit(-0.74)).otherwise(F.lit(1.0))
-    sums = listed.where(v.isNotNull()).groupBy(DIGEST).agg(F.sum(value).alias("__sum"))
+    sums = listed.where(v.isNotNull()).groupBy(NUMBER).agg(F.sum(value).alias("__sum"))
     s = F.coalesce("__sum", F.lit(0.0))
     is_blank = F.coalesce(F.col(f"`{text}`") == placeholder, F.lit(True))
-    return _back(df, text, sums, F.when(is_blank, F.lit(0.0)).otherwise(s / F.sqrt(s * s + F.lit(15.0))), output)
+    return _back(df, text, cells, sums, F.when(is_blank, F.lit(0.0)).otherwise(s / F.sqrt(s * s + F.lit(15.0))), output)

@@ -13,6 +13,7 @@ from pricewright.operators import select as S
 from pricewright.operators import text_features as TF
 from pricewright.operators.quantiles import quantiles
 from pricewright.plans.registry import query
+from pricewright.session import materialize
 from pricewright.vocab import TEXT_COLUMNS
 
 COLUMNS = list(TEXT_COLUMNS)
@@ -291,7 +292,7 @@ def _digit(word, at: int, digits: int):
 
 
 def _every_word(t, tokens):
-    return t.documents().select(F.explode(tokens).alias("term")).distinct()
+    return materialize(t.documents().select(F.explode(tokens).alias("term")).distinct(), "every-word")
 
 
 _TABLE_SENTIMENT_SQL = """WITH tok AS (SELECT id, generate_subscripts(t, 1) AS i, unnest(t) AS token FROM (

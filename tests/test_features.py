@@ -259,6 +259,8 @@ def test_nearest_compares_slices_that_no_cell_prunes(spark, monkeypatch, rows):
     assert sent[0][0] <= 2 * (300 // rows + 1) + 8 and sent[0][1] <= 40 * sent[0][0]
     pairs = [KNN.candidate_pairs(train, query, "id", "query_id", "vector", 1.0, 4, counted=c) for c in (False, True)]
     assert pairs[0].count() == pairs[0].distinct().count() == pairs[1].agg(F.sum("pairs")).first()[0]
+    twice = KNN.candidate_pairs(train.unionByName(train), query.unionByName(query), "id", "query_id", "vector", 1.0, 4)
+    assert twice.count() == pairs[0].count()
 
 
 def test_nearest_with_fewer_rows_than_k(spark):
