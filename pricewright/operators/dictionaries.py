@@ -34,9 +34,10 @@ def word_rows(df: DataFrame, text: str, tokens: Column) -> DataFrame:
 
     Words carry the short number of their text; the digest stands beside the first word only.
     """
-    texts = df.select(_digest(text).alias(DIGEST), tokens.alias("t")).where(F.size("t") > 0)
-    once = texts.groupBy(DIGEST).agg(F.first("t").alias("t")).withColumn(NUMBER, F.monotonically_increasing_id())
-    rows = once.select(NUMBER, DIGEST, F.posexplode("t").alias("at", "term"))
+    texts = df.select(_digest(text).alias(DIGEST), F.col(f"`{text}`"))
+    once = texts.groupBy(DIGEST).agg(F.first(f"`{text}`").alias(text))
+    numbered = once.select(DIGEST, F.monotonically_increasing_id().alias(NUMBER), tokens.alias("t"))
+    rows = numbered.select(NUMBER, DIGEST, F.posexplode("t").alias("at", "term"))
     return materialize(rows.withColumn(DIGEST, F.when(F.col("at") == 0, F.col(DIGEST))), "words")
 
 

@@ -69,3 +69,12 @@ def test_repeated_and_null_entries(spark):
     df = spark.createDataFrame([("a good day",)], "text string")
     twice = spark.createDataFrame([("good", 1.0), ("good", 2.0), (None, 9.0), ("day", None)], "term string, valence double")
     assert abs(D.sentiment_with_tables(df, "text", twice).first()["sentiment"] - 2 / 19**0.5) < 1e-12
+
+
+def test_words_carry_a_short_number_and_not_the_digest(spark):
+    """The digest of a text, which no codec shortens, stands beside one word of it."""
+    df = spark.createDataFrame([(1, "good bad good " * 500), (2, "good bad good " * 500), (3, "worst"), (4, ""), (5, None)], "id int, text string")
+    cells = D.word_rows(df, "text", X.tokenize(F.col("text")))
+    assert cells.count() == 1501 and cells.where("__digest is not null").count() == 2
+    assert cells.select("__number").distinct().count() == 2
+    assert cells.where("at = 0").select("__number", "__digest").distinct().count() == 2
