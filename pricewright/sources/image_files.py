@@ -42,14 +42,17 @@ class ImageWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         store, root = _opened(self.path)
-        store.create_dir(root, recursive=True)
-        for batch in iterator:
-            for name, content in zip(batch.column("name"), batch.column("content")):
-                # files whose name starts with an underscore are not read
-                unfinished = f"{root}/_{uuid.uuid4().hex}"
-                with store.open_output_stream(unfinished) as out:
-                    out.write(content.as_buffer() if content.is_valid else b"")
-                store.move(unfinished, f"{root}/{name.as_py()}")
+        # folders whose name starts with an underscore are not read; tasks that create files in one folder wait for each other
+        unfinished = f"{root}/_{uuid.uuid4().hex}"
+        store.create_dir(unfinished, recursive=True)
+        try:
+            for batch in iterator:
+                for name, content in zip(batch.column("name"), batch.column("content")):
+                    with store.open_output_stream(f"{unfinished}/image") as out:
+                        out.write(content.as_buffer() if content.is_valid else b"")
+                    store.move(f"{unfinished}/image", f"{root}/{name.as_py()}")
+        finally:
+            store.delete_dir(unfinished)
         return WriterCommitMessage()
 
 

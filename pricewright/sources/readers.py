@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pricewright.schemas import IMAGES, LISTINGS, REQUESTS
 from pricewright.sources.writers import CSV_TEXT, path_exists
 
+# Tasks that read a folder of small files, for each core.
+TASKS_PER_CORE = 16
+
 
 def _files_named(spark: SparkSession, root: str, name: str) -> list[str]:
     """Files of that name below a folder, on whichever file system it names."""
@@ -71,9 +74,13 @@ def read_json(spark: SparkSession, path: str, lines: bool = True, schema: T.Stru
     return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
-def read_images(spark: SparkSession, path: str, pattern: str = "*.webp") -> DataFrame:
-    """Image files as (name, content)."""
+def read_images(spark: SparkSession, path: str, pattern: str = "*.webp", tasks: int | None = None) -> DataFrame:
+    """Image files as (name, content), read by at most ``tasks`` tasks (some for each core, unless given).
+
+    Spark counts a small file as four megabytes, so it would start a task for every 32 of them.
+    """
     raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
+    raw = raw.coalesce(tasks or TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     return raw.select(F.substring_index("path", "/", -1).alias("name"), "content").to(IMAGES)
 
 

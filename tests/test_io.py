@@ -211,6 +211,16 @@ def test_image_files(spark, tmp_path):
             write_image_files(spark.createDataFrame([(name, b"x", 1)], schema), path)
 
 
+def test_many_image_files_are_read_by_few_tasks(spark, tmp_path):
+    path = f"{tmp_path}/images"
+    batch = spark.range(200).selectExpr("concat(id, '.webp') AS name", "cast(cast(id AS string) AS binary) AS content")
+    write_image_files(batch, path)
+    found = readers.read_images(spark, path, tasks=2)
+    assert found.rdd.getNumPartitions() == 2
+    assert {r["name"]: bytes(r["content"]) for r in found.collect()} == {f"{k}.webp": str(k).encode() for k in range(200)}
+    assert sorted(os.listdir(path)) == sorted(f"{k}.webp" for k in range(200))
+
+
 def test_streams_read_tables_stored_as_folders(spark, tmp_path):
     from pricewright.plans.views import Tables
 
