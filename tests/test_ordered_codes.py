@@ -70,3 +70,16 @@ def test_tables_without_rows_or_targets(spark):
     assert all(math.isnan(r["code"]) for r in ordered_codes(blank, ["shade"], "price", "id").collect())
     with pytest.raises(ValueError):
         OrderedTargetEncoder(["shade"], permutations=0)
+
+
+def test_rows_of_many_passes_lie_on_all_cores(spark, tmp_path):
+    from pricewright.operators.partitioning import spread_evenly
+
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    cores = spark.sparkContext.defaultParallelism
+    for passed, rounds in ((1000, 1), (-(-1000 // (2 * cores)), 2)):
+        even = spread_evenly(rows, passed)
+        sizes = [len(part) for part in even.rdd.glom().collect()]
+        assert len(sizes) == cores * rounds and max(sizes) <= passed and min(sizes) > 0
+        assert sorted(r["id"] for r in even.collect()) == list(range(1000))
