@@ -156,6 +156,20 @@ def test_tfidf_forms_agree(spark):
     assert long[(1, "bb")] == pytest.approx(idf["bb"] / math.sqrt(sum(x * x for x in idf.values())))
 
 
+def test_short_vocabularies_are_looked_up_beside_the_row(spark):
+    texts = ["aa bb aa cc", "Bb cc dd", None, "", "dd dd ee", "aa bb aa cc", "zz x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    for kind, size in (("count", (1, 1)), ("tfidf", (1, 3)), ("tfidf", (2, 2))):
+        model = TF.BagOfWords(kind, size, min_df=2).fit(df, "text")
+        out = model.transform(df, "v")
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+        got, joined = ({r["id"]: r["v"] for r in rows.collect()} for rows in (out, model._joined(df, "v")))
+        assert len(got) == len(texts) and got == joined
+        assert all(list(got[i].indices) == list(joined[i].indices) and list(got[i].values) == list(joined[i].values) for i in got)
+        assert got[2].size == model.size and not len(got[2].indices) and len(got[0].indices) > 0
+
+
 def test_subspace_iteration_matches_dense_decomposition(spark, monkeypatch):
     rng = np.random.default_rng(0)
     strength = np.array([9.0, 6.0, 4.0, 2.0] + [0.3] * 36)
