@@ -11,6 +11,7 @@ from pricewright.operators import lookup as L
 from pricewright.operators import reshape as R
 from pricewright.operators import select as S
 from pricewright.operators import text_features as TF
+from pricewright.operators.partitioning import keys_together
 from pricewright.operators.quantiles import quantiles
 from pricewright.plans.registry import query
 from pricewright.session import materialize
@@ -115,7 +116,7 @@ def document_ngrams(t):
         F.array(*[F.struct(F.lit(n).alias("ngram"), X.ngrams(F.col("t"), n).alias("v")) for n in (1, 2, 3)])
     )
     values = R.explode_list(tokens.select(kinds.alias("k")).select("k.ngram", "k.v"), "v").where(F.col("value").isNotNull())
-    return values.groupBy("ngram", "value").agg(F.count("*").alias("count"))
+    return keys_together(values, "ngram", "value").groupBy("ngram", "value").agg(F.count("*").alias("count"))
 
 
 _NGRAMS_SQL = """

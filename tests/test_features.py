@@ -11,6 +11,8 @@ from pricewright.operators import knn as KNN
 from pricewright.operators import text_features as TF
 from pricewright.operators.knn import knn_predict, nearest
 from pricewright.operators.text_plan import TextPlan
+from pricewright.plans.text import document_ngrams
+from pricewright.plans.views import Tables
 from pricewright.vocab import SIZE_CHARTS, size_positions
 
 
@@ -156,6 +158,21 @@ def test_tfidf_forms_agree(spark):
     assert long[(1, "bb")] == pytest.approx(idf["bb"] / math.sqrt(sum(x * x for x in idf.values())))
 
 
+def test_ngrams_are_counted_after_their_shuffle(spark, tmp_path):
+    texts = ["red red shirt", "blue shirt blue shirt", None, "red hat blue hat", ""]
+    df = spark.createDataFrame([(i, x, float(i)) for i, x in enumerate(texts)], "doc_id long, text string, sold_price double")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    counted = document_ngrams(Tables(spark, str(tmp_path)))
+    forms = (counted, TF.vocabulary(df, "text", (1, 2)), TF.ngram_counts(df, ["text"], 1.0, 2.0))
+    for out in forms:
+        below = out._jdf.queryExecution().sparkPlan().toString().split("REPARTITION_BY_COL")
+        assert len(below) == 2 and "Aggregate" not in below[1]
+    grams = Counter()
+    for words in (x.split() for x in texts if x):
+        grams.update((n, " ".join(words[i : i + n])) for n in (1, 2, 3) for i in range(len(words) - n + 1))
+    assert {(r["ngram"], r["value"]): r["count"] for r in counted.collect()} == grams
+
+
 def test_short_vocabularies_are_looked_up_beside_the_row(spark):
     texts = ["aa bb aa cc", "Bb cc dd", None, "", "dd dd ee", "aa bb aa cc", "zz x"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
