@@ -6,9 +6,13 @@ thousands of them side by side with one array operation per step of the model.
 The model of a block predicts the next id from its last two ids (order 2) and
 from its last id (order 1): the id that followed last time, with a confidence
 from 0 to 3. Which of the predictions is right, or neither, is coded with adaptive
-counts for each pair of confidences, which mixes the two. An id that neither
+shares for each pair of confidences, which mixes the two. An id that neither
 predicted is coded by order 0: adaptive counts of its upper eight bits, turned
-into shares after 16, 32, 64 and every further 128 ids, the rest as it is.
+into shares after 16, 32, 64, 128 and every further 256 ids, the rest as it is.
+
+Shares are parts of a power of two, so that coding an id takes no division; the
+range is refilled by one word of 32 bits at most for each id, and carries go back
+into the words written before.
 
 A coded block is: magic, version, bits of an id, number of ids, CRC-32 of the ids
 as little-endian unsigned 32-bit integers, then the words of the range coder.
@@ -22,18 +26,27 @@ import zlib
 import numpy as np
 
 MAGIC = b"TIDB"
-VERSION = 1
+VERSION = 2
 HEADER = struct.Struct("<4sBBHII")
 
-SLOTS1, SLOTS2 = 1 << 10, 1 << 11
-TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-WORD = np.uint64(16)
-LIMIT = 1000
-EVENT_STEP = 24
-#: The three counts of a context lie in 16 bits each of one number.
-EVENT_BITS, EVENT_MASK = 16, 0xFFFF
-EVENT_START = 4 | 4 << EVENT_BITS | 8 << 2 * EVENT_BITS
-EVENT_HALVES, EVENT_ONES = 0x7FFF7FFF7FFF, 0x000100010001
+SLOT_BITS1, SLOT_BITS2 = 10, 11
+#: Odd multipliers of the hashes of the last id and of the last two.
+MIX1, MIX2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+WORD = 32
+BOTTOM = 1 << WORD
+#: A prediction is an id and, below it, the confidence at the place that it has in a context.
+ID_SHIFT, CONTEXTS = 5, 32
+ONE1, MOST1 = 2, 6
+ONE2, MOST2 = 8, 24
+#: A context holds where the shares of the second and the third event begin, in parts of
+#: 2 ** EVENT_BITS; they lie in 32 bits each of one number and move by 2 ** -EVENT_RATE.
+EVENT_BITS, EVENT_RATE = 15, 5
+EVENT_MASK = (1 << EVENT_BITS) - 1
+EVENT_START = 1 << EVENT_BITS - 2 | 1 << 32 + EVENT_BITS - 1
+EVENT_STEPS = ((1 << EVENT_BITS) >> EVENT_RATE) - 2
+#: Added when the first, second or third event comes; the shares stay one part or more.
+EVENT_FIRST, EVENT_SECOND, EVENT_THIRD = (a | b << 32 for a, b in ((EVENT_STEPS - 1, EVENT_STEPS), (1, EVENT_STEPS), (1, 2)))
+EVENT_MOVES = (EVENT_MASK >> EVENT_RATE) * (1 | 1 << 32)
 CLASSES, SHARE_BITS = 256, 11
 
 
@@ -41,61 +54,80 @@ class _Model:
     """Predictions and counts of ``lanes`` blocks."""
 
     def __init__(self, lanes: int, bits: int, decoding: bool = False):
-        self.decoding = decoding
+        self.decoding, self.lanes = decoding, lanes
         self.rest = max(0, bits - 8)
-        # a prediction and, in its last two bits, its confidence
-        self.known1, self.known2 = np.zeros(lanes * SLOTS1, np.int32), np.zeros(lanes * SLOTS2, np.int32)
-        self.events = np.full(lanes * 32, EVENT_START, np.int64)
+        self.known1, self.known2 = np.zeros(lanes << SLOT_BITS1, np.int32), np.zeros(lanes << SLOT_BITS2, np.int32)
+        self.events = np.full(lanes * CONTEXTS, EVENT_START, np.uint64)
         self.classes = np.zeros(lanes * CLASSES, np.int64)
-        self.share(lanes)
-        self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.lanes = np.arange(lanes)
-        self.base1, self.base2, self.base = self.lanes * SLOTS1, self.lanes * SLOTS2, self.lanes * 32
-
-    def predict(self, k: int):
-        a, b = self.last1[:k], self.last2[:k]
-        self.at1 = self.base1[:k] + ((a * 40503 >> 5) & (SLOTS1 - 1))
-        self.at2 = self.base2[:k] + ((a * 2654435761 + b * 40503 >> 9) & (SLOTS2 - 1))
-        self.p1, self.p2 = self.known1.take(self.at1), self.known2.take(self.at2)
-        self.n1, self.n2 = self.p1 & 3, self.p2 & 3
-        self.c1, self.c2 = self.p1 >> 2, self.p2 >> 2
-        same = self.c1 == self.c2
-        self.context = self.base[:k] + (self.n2 * 8 + self.n1 * 2 + same)
-        self.counts = self.events.take(self.context)
-        self.first = self.counts & EVENT_MASK
-        self.upto2 = self.first + (self.counts >> EVENT_BITS & EVENT_MASK) * ~same
-        self.total = self.upto2 + (self.counts >> 2 * EVENT_BITS)
-
-    def narrow(self, low: np.ndarray, size: np.ndarray, r: np.ndarray, event: np.ndarray) -> None:
-        """Go on to the share of the event in a range of ``total`` parts of ``r``."""
-        start = np.where(event == 2, self.upto2, self.first * event)
-        width = self.counts >> EVENT_BITS * event & EVENT_MASK
-        low += r * start.view(np.uint64)
-        np.multiply(r, width.view(np.uint64), out=size)
-
-    def share(self, lanes: int) -> None:
+        self.counted = 0
+        self.share()
+        # the last ids, multiplied for the hashes
+        self.last1, self.last2 = np.zeros(lanes, np.uint64), np.zeros(lanes, np.uint64)
+        lane = np.arange(lanes, dtype=np.uint64)
+        self.base1, self.base2, self.base = lane << SLOT_BITS1, lane << SLOT_BITS2, lane.view(np.int64) * CONTEXTS
+
+    def keep(self, k: int) -> None:
+        """Go on with the first ``k`` blocks; the others have ended."""
+        self.last1, self.last2, self.base1, self.base2, self.base = (x[:k] for x in (self.last1, self.last2, self.base1, self.base2, self.base))
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Predictions of orders 1 and 2, and the event shares of their context."""
+        at = self.last1 >> (64 - SLOT_BITS1)
+        at += self.base1
+        self.at1 = at.view(np.int64)
+        at = self.last1 * MIX2
+        at += self.last2
+        at >>= 64 - SLOT_BITS2
+        at += self.base2
+        self.at2 = at.view(np.int64)
+        p1, p2 = self.known1.take(self.at1), self.known2.take(self.at2)
+        context = (p2 & MOST2) | (p1 & MOST1)
+        context |= (p1 ^ p2) < 1 << ID_SHIFT
+        self.context = self.base + context
+        self.shares = self.events.take(self.context)
+        self.p1, self.p2 = p1, p2
+        return p1, p2, self.shares
+
+    def learn(self, ids: np.ndarray, not_first: np.ndarray, third: np.ndarray) -> None:
+        moved = self.shares >> EVENT_RATE
+        moved &= EVENT_MOVES
+        shares = self.shares - moved
+        shares += np.where(third, np.uint64(EVENT_THIRD), np.where(not_first, np.uint64(EVENT_SECOND), np.uint64(EVENT_FIRST)))
+        self.events[self.context] = shares
+        anew = ids << ID_SHIFT
+        for at, known, p, one, most in ((self.at1, self.known1, self.p1, ONE1, MOST1), (self.at2, self.known2, self.p2, ONE2, MOST2)):
+            wrong = np.where(p & most, p - one, anew)
+            known[at] = np.where((p ^ anew) < 1 << ID_SHIFT, np.minimum(p + one, anew | most), wrong)
+        self.last2 = self.last1
+        self.last1 = ids.astype(np.uint64)
+        self.last1 *= MIX1
+
+    def share(self) -> None:
         """Turn the counts of classes into shares of 2 ** SHARE_BITS, one at least."""
-        counts = self.classes.reshape(-1, CLASSES)[:lanes]
+        counts = self.classes.reshape(-1, CLASSES)
         spare = (1 << SHARE_BITS) - CLASSES
         each = 1 + counts * spare // np.maximum(1, counts.sum(axis=1, keepdims=True))
-        each[np.arange(lanes), counts.argmax(axis=1)] += (1 << SHARE_BITS) - each.sum(axis=1)
-        self.upto = np.zeros((lanes, CLASSES + 1), np.int64)
-        np.cumsum(each, axis=1, out=self.upto[:, 1:])
-        self.upto = self.upto.ravel()
-        self.slots = np.repeat(np.tile(np.arange(CLASSES, dtype=np.uint8), lanes), each.ravel()) if self.decoding else None
-
-    def due(self, t: int, lanes: int) -> None:
-        if t in (16, 32, 64) or t and t % 128 == 0:
-            self.share(lanes)
-
-    def learn(self, k: int, ids: np.ndarray, event: np.ndarray):
-        counts = self.counts + (EVENT_STEP << EVENT_BITS * event)
-        self.events[self.context] = np.where(self.total > LIMIT, counts >> 1 & EVENT_HALVES | EVENT_ONES, counts)
-        anew = ids << 2
-        for at, known, p, c, n in ((self.at1, self.known1, self.p1, self.c1, self.n1), (self.at2, self.known2, self.p2, self.c2, self.n2)):
-            known[at] = np.where(c == ids, p + (n < 3), np.where(n > 0, p - 1, anew))
-        self.last2[:k] = self.last1[:k]
-        self.last1[:k] = ids
+        each[np.arange(self.lanes), counts.argmax(axis=1)] += (1 << SHARE_BITS) - each.sum(axis=1)
+        # where a share begins, and its size
+        self.parts = ((np.cumsum(each, axis=1) - each) << 16 | each).ravel().astype(np.uint32)
+        self.slots = np.repeat(np.tile(np.arange(CLASSES, dtype=np.uint8), self.lanes), each.ravel()) if self.decoding else None
+
+    def due(self, t: int, ids: np.ndarray, plain: np.ndarray) -> None:
+        """Count the classes of the plain ids so far, at the steps that ask for it."""
+        if t in (16, 32, 64, 128) or t and t % 256 == 0:
+            at = ids[self.counted : t] >> self.rest
+            at = (at + np.arange(self.lanes) * CLASSES)[plain[self.counted : t]]
+            self.classes += np.bincount(at, minlength=len(self.classes))
+            self.counted = t
+            self.share()
+
+
+def _span(size: np.ndarray, second: np.ndarray, third: np.ndarray, not_first: np.ndarray, is_third: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and size of the event's share of a range."""
+    begin = np.where(is_third, third, second * not_first)
+    end = np.where(is_third, size, np.where(not_first, third, second))
+    end -= begin
+    return begin, end
 
 
 def encode_blocks(blocks: list[np.ndarray], bits: int) -> list[bytes]:
@@ -108,56 +140,63 @@ def encode_blocks(blocks: list[np.ndarray], bits: int) -> list[bytes]:
     ids = np.zeros((steps, lanes), np.int32)
     for lane, b in enumerate(order):
         ids[: lengths[lane], lane] = blocks[b]
+    plain_at = np.zeros((steps, lanes), bool)
     model = _Model(lanes, bits)
     rest_mask = (1 << model.rest) - 1
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-    width_words = 3 * steps + 8
-    words, used = np.zeros(lanes * width_words, "<u2"), np.arange(lanes) * width_words
-
-    def emit(k: int) -> None:
-        a, r, rows = low[:k], size[:k], model.lanes[:k]
-        while True:
-            settled = (a ^ (a + r)) < TOP
-            go = np.flatnonzero(settled | (r < BOTTOM))
-            if not len(go):
-                return
-            a, rows = a[go], rows[go]
-            r = np.where(settled[go], r[go], (np.uint64(0) - a) & (BOTTOM - np.uint64(1))) << WORD
-            at = used[rows]
-            words[at] = a >> np.uint64(48)
-            used[rows] = at + 1
-            a = a << WORD
-            low[rows], size[rows] = a, r
-
-    active = np.searchsorted(-lengths, -np.arange(steps), side="left")
+    lows, size = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
+    low = lows
+    width_words = steps + 2
+    words, used = np.zeros(lanes * width_words, "<u4"), np.arange(lanes) * width_words
+    active = np.searchsorted(-lengths, -np.arange(steps), side="left").tolist()
+    k = lanes
     for t in range(steps):
-        k = int(active[t])
+        if active[t] < k:
+            k = active[t]
+            model.keep(k)
+            low, size = low[:k], size[:k]
         x = ids[t, :k]
-        model.due(t, k)
-        model.predict(k)
-        event = np.where(x == model.c2, 0, 2 - (x == model.c1))
-        model.narrow(low[:k], size[:k], size[:k] // model.total.view(np.uint64), event)
-        plain = np.flatnonzero(event == 2)
+        model.due(t, ids, plain_at)
+        p1, p2, shares = model.predict()
+        x_high = x << ID_SHIFT
+        not_first = (p2 ^ x_high) >= 1 << ID_SHIFT
+        third = (p1 ^ x_high) >= 1 << ID_SHIFT
+        third &= not_first
+        plain_at[t, :k] = third
+        r = size >> EVENT_BITS
+        begin, size = _span(size, r * (shares & EVENT_MASK), r * (shares >> 32), not_first, third)
+        plain = np.flatnonzero(third)
         if len(plain):
             # 10 bits of event, 11 of class and the rest fit into the 32 that a size has at least
             y = x[plain]
-            kind = y >> model.rest
-            model.classes[plain * CLASSES + kind] += 1
-            at = plain * (CLASSES + 1) + kind
-            begin = model.upto[at]
-            r = size[plain] >> np.uint64(SHARE_BITS)
-            a = low[plain] + r * begin.astype(np.uint64)
-            r = r * (model.upto[at + 1] - begin).astype(np.uint64) >> np.uint64(model.rest)
-            low[plain] = a + r * (y & rest_mask).astype(np.uint64)
+            part = model.parts.take(plain * CLASSES + (y >> model.rest)).astype(np.uint64)
+            r = size[plain] >> SHARE_BITS
+            a = r * (part >> 16)
+            r *= part & 0xFFFF
+            r >>= model.rest
+            a += r * (y & rest_mask).astype(np.uint64)
+            begin[plain] += a
             size[plain] = r
-        emit(k)
-        model.learn(k, x, event)
+        low += begin
+        carry = np.flatnonzero(low < begin)
+        if len(carry):
+            at = used[carry] - 1
+            while len(at):
+                words[at] += 1
+                at = at[words[at] == 0] - 1
+        go = np.flatnonzero(size < BOTTOM)
+        if len(go):
+            a, at = low[go], used[go]
+            words[at] = a >> WORD
+            used[go] = at + 1
+            low[go] = a << WORD
+            size[go] <<= WORD
+        model.learn(x, not_first, third)
     out: list[bytes] = [b""] * lanes
     for lane, b in enumerate(order):
-        begin, n = lane * width_words, int(used[lane])
-        words[n : n + 4] = [int(low[lane]) >> s & 0xFFFF for s in (48, 32, 16, 0)]
+        begin_, n = lane * width_words, int(used[lane])
+        words[n : n + 2] = [int(lows[lane]) >> WORD, int(lows[lane]) & BOTTOM - 1]
         crc = zlib.crc32(np.asarray(blocks[b], "<u4").tobytes())
-        out[b] = HEADER.pack(MAGIC, VERSION, bits, 0, len(blocks[b]), crc) + words[begin : n + 4].tobytes()
+        out[b] = HEADER.pack(MAGIC, VERSION, bits, 0, len(blocks[b]), crc) + words[begin_ : n + 2].tobytes()
     return out
 
 
@@ -171,65 +210,60 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     order = sorted(range(len(coded)), key=lambda b: -heads[b][4])
     lengths = np.array([heads[b][4] for b in order])
     steps, lanes = int(lengths[0]), len(coded)
-    bodies = [np.frombuffer(coded[b], "<u2", offset=HEADER.size) for b in order]
-    width_words = max(len(w) for w in bodies) + 4
-    words = np.zeros((lanes, width_words), np.uint16)
+    bodies = [np.frombuffer(coded[b], "<u4", offset=HEADER.size) for b in order]
+    width_words = max(len(w) for w in bodies) + 2
+    words = np.zeros((lanes, width_words), np.uint64)
     for lane, w in enumerate(bodies):
         words[lane, : len(w)] = w
     words = words.ravel()
-    first_word = np.arange(lanes) * width_words
+    used = np.arange(lanes) * width_words
     model = _Model(lanes, heads[0][2], True)
-    rest_mask = np.uint64((1 << model.rest) - 1)
-    low, size, code = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64), np.zeros(lanes, np.uint64)
-    for s in range(4):
-        code = code << WORD | words[first_word + s].astype(np.uint64)
-    used, last_word = first_word + 4, first_word + width_words - 1
-    ids = np.zeros((steps, lanes), np.int32)
-
-    def refill(k: int) -> None:
-        a, r, rows = low[:k], size[:k], model.lanes[:k]
-        while True:
-            settled = (a ^ (a + r)) < TOP
-            go = np.flatnonzero(settled | (r < BOTTOM))
-            if not len(go):
-                return
-            a, rows = a[go], rows[go]
-            r = np.where(settled[go], r[go], (np.uint64(0) - a) & (BOTTOM - np.uint64(1))) << WORD
-            at = used[rows]
-            code[rows] = code[rows] << WORD | words[np.minimum(at, last_word[rows])]
-            used[rows] = at + 1
-            a = a << WORD
-            low[rows], size[rows] = a, r
-
-    active = np.searchsorted(-lengths, -np.arange(steps), side="left")
+    rest_mask = (1 << model.rest) - 1
+    size = np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
+    # the code, less the low end of the range
+    ahead = words[used] << WORD | words[used + 1]
+    used += 2
+    ids, plain_at = np.zeros((steps, lanes), np.int32), np.zeros((steps, lanes), bool)
+    active = np.searchsorted(-lengths, -np.arange(steps), side="left").tolist()
+    k = lanes
     for t in range(steps):
-        k = int(active[t])
-        model.due(t, k)
-        model.predict(k)
-        total = model.total.view(np.uint64)
-        r = size[:k] // total
-        at = np.minimum((code[:k] - low[:k]) // r, total - np.uint64(1)).view(np.int64)
-        event = (at >= model.first).astype(np.int64) + (at >= model.upto2)
-        model.narrow(low[:k], size[:k], r, event)
-        x = np.where(event == 0, model.c2, model.c1)
-        plain = np.flatnonzero(event == 2)
+        if active[t] < k:
+            k = active[t]
+            model.keep(k)
+            ahead, size = ahead[:k], size[:k]
+        model.due(t, ids, plain_at)
+        p1, p2, shares = model.predict()
+        r = size >> EVENT_BITS
+        second, last = r * (shares & EVENT_MASK), r * (shares >> 32)
+        not_first, third = ahead >= second, ahead >= last
+        plain_at[t, :k] = third
+        begin, size = _span(size, second, last, not_first, third)
+        ahead -= begin
+        x = np.where(not_first, p1, p2)
+        x >>= ID_SHIFT
+        plain = np.flatnonzero(third)
         if len(plain):
-            a = low[plain]
-            ahead = code[plain] - a
-            r = size[plain] >> np.uint64(SHARE_BITS)
-            slot = np.minimum(ahead // r, np.uint64((1 << SHARE_BITS) - 1)).astype(np.int64)
-            kind = model.slots[(plain << SHARE_BITS) + slot].astype(np.int64)
-            model.classes[plain * CLASSES + kind] += 1
-            at = plain * (CLASSES + 1) + kind
-            begin = model.upto[at]
-            skipped = r * begin.astype(np.uint64)
-            r = r * (model.upto[at + 1] - begin).astype(np.uint64) >> np.uint64(model.rest)
-            tail = np.minimum((ahead - skipped) // r, rest_mask)
-            low[plain] = a + skipped + r * tail
+            a = ahead[plain]
+            r = size[plain] >> SHARE_BITS
+            slot = np.minimum(a // r, (1 << SHARE_BITS) - 1).view(np.int64)
+            slot += plain << SHARE_BITS
+            kind = model.slots.take(slot)
+            part = model.parts.take(plain * CLASSES + kind).astype(np.uint64)
+            a -= r * (part >> 16)
+            r *= part & 0xFFFF
+            r >>= model.rest
+            tail = np.minimum(a // r, rest_mask)
+            a -= r * tail
+            ahead[plain] = a
             size[plain] = r
-            x[plain] = kind << model.rest | tail.astype(np.int64)
-        refill(k)
-        model.learn(k, x, event)
+            x[plain] = kind.astype(np.int32) << model.rest | tail.astype(np.int32)
+        go = np.flatnonzero(size < BOTTOM)
+        if len(go):
+            at = used[go]
+            ahead[go] = ahead[go] << WORD | words.take(at, mode="clip")
+            used[go] = at + 1
+            size[go] <<= WORD
+        model.learn(x, not_first, third)
         ids[t, :k] = x
     out: list[np.ndarray] = [np.zeros(0, "<u4")] * lanes
     for lane, b in enumerate(order):

@@ -12,54 +12,83 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pricewright.llm.ragged import SpanBook, chunks, span_strings, text_bytes
+from pricewright.llm.ragged import SpanBook, chunks, text_bytes
 from pricewright.llm.range_coder import decode_blocks, encode_blocks
 from pricewright.llm.tables import column, text_or_empty
-from pricewright.llm.token_counts import gather_spans, pretokens
+from pricewright.llm.token_counts import byte_symbols, gather_spans, pretokens
 
 BLOCK_IDS = 4096
-#: Blocks coded side by side in a task.
+#: Blocks coded side by side in a task, half as many more at the end.
 LANES = 1536
-#: Pre-tokens a worker remembers between batches; beyond it the memory starts anew.
+#: Pre-tokens a worker remembers between batches; beyond it the most used half, at most, stays.
 REMEMBERED = 1 << 19
 END = 0
+#: The character of the vocabulary for each byte.
+SYMBOLS = dict(enumerate(byte_symbols()))
 
 PARTS = "array<struct<doc_id:bigint,row:bigint,begin:bigint,count:bigint,after:bigint>>"
 BLOCKS = f"shard int, block int, payload binary, parts {PARTS}"
 PART_TYPE = pa.list_(pa.struct([(n, pa.int64()) for n in ("doc_id", "row", "begin", "count", "after")]))
 
 
+def distinct_spans(data: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
+    """The byte strings that begin at ``starts``, each up to the next, told apart by Arrow."""
+    wide = len(data) > np.iinfo(np.int32).max
+    edges = np.append(starts, len(data)).astype(np.int64 if wide else np.int32)
+    kind = pa.large_binary() if wide else pa.binary()
+    return pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
+
+
 class Encoder:
-    """Ids of texts by the library; each distinct pre-token is encoded once."""
+    """Ids of texts by the library's model; a pre-token is encoded once as long as it is remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.bits = max(9, int(self.library.get_vocab_size()).bit_length())
-        self._forget()
+        self.book = SpanBook(REMEMBERED)
+        #: Where the ids of a pre-token lie in the store, and how many there are.
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.store = np.zeros(0, np.int32)
+        #: Batches that had the pre-token.
+        self.uses = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
+        """Keep the pre-tokens that came again, the most used ones, up to half of the memory."""
+        keys = list(self.book)
+        order = np.argsort(-self.uses, kind="stable")
+        order = order[self.uses[order] > 1][: self.book.most // 2]
+        n_bytes = np.cumsum([len(keys[k]) for k in order.tolist()])
+        kept = order[: np.searchsorted(n_bytes, self.book.most_bytes // 2, side="right")]
         self.book = SpanBook(REMEMBERED)
-        self.place = np.zeros((0, 2), np.int64)
-        self.store = np.zeros(0, np.int32)
+        self.book.numbers([keys[k] for k in kept.tolist()])
+        self.book.take_fresh()
+        self.sizes = self.sizes[kept]
+        self.store, self.begins = gather_spans(self.store, self.begins[kept], self.sizes)
+        # what was used long ago gives way
+        self.uses = self.uses[kept] // 2
 
     def _learn(self, new: list[bytes]) -> None:
-        # without offsets in the text, which nobody reads
-        found = [e.ids for e in self.library.encode_batch_fast([k.decode("utf-8", "replace") for k in new], add_special_tokens=False)]
+        sizes = [len(k) for k in new]
+        symbols = b"".join(new).decode("latin-1").translate(SYMBOLS)
+        ends = list(accumulate(sizes))
+        found = [[t.id for t in self.model.tokenize(symbols[e - n : e])] for e, n in zip(ends, sizes)]
         counts = np.array([len(f) for f in found], np.int64)
         flat = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
         begins = len(self.store) + np.cumsum(counts) - counts
         self.store = np.concatenate((self.store, flat))
-        self.place = np.concatenate((self.place, np.column_stack((begins, counts))))
+        self.begins, self.sizes = np.concatenate((self.begins, begins)), np.concatenate((self.sizes, counts))
+        self.uses = np.concatenate((self.uses, np.zeros(len(new), np.int64)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts laid end to end, and the number of each."""
@@ -71,12 +100,15 @@ class Encoder:
         if len(starts):
             if self.book.full():
                 self._forget()
-            numbers = self.book.numbers(span_strings(data, starts))
+            spans = distinct_spans(data, starts)
+            numbers = self.book.numbers(spans.dictionary.to_numpy(zero_copy_only=False).tolist())
             if self.book.fresh:
                 self._learn(self.book.take_fresh())
-            place = self.place[numbers]
-            ids, _ = gather_spans(self.store, place[:, 0], place[:, 1])
-            np.add.at(counts, owner, place[:, 1])
+            self.uses[numbers] += 1
+            each = numbers[spans.indices.to_numpy()]
+            sizes = self.sizes[each]
+            ids, _ = gather_spans(self.store, self.begins[each], sizes)
+            counts = np.bincount(owner, sizes, len(texts)).astype(np.int64)
         if any(special):
             parts = np.split(ids, np.cumsum(counts)[:-1])
             for i in np.flatnonzero(special).tolist():
@@ -86,6 +118,13 @@ class Encoder:
         return ids, counts
 
 
+def side_by_side(n: int) -> list[tuple[int, int]]:
+    """Runs of about ``LANES`` of ``n`` blocks, of one size; a few blocks more cost no run of their own."""
+    runs = max(1, round(n / LANES)) if n else 0
+    edges = [n * k // runs for k in range(runs + 1)] if runs else []
+    return list(zip(edges, edges[1:]))
+
+
 @lru_cache(2)
 def worker_encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -105,9 +144,9 @@ def token_blocks(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, en
 
         def cut(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal waiting, pieces, block
-            n = -(-len(waiting) // BLOCK_IDS) if last else len(waiting) // BLOCK_IDS
-            for a in range(0, n, LANES):
-                edges = [min(len(waiting), k * BLOCK_IDS) for k in range(a, min(n, a + LANES) + 1)]
+            n = -(-len(waiting) // BLOCK_IDS) if last else len(waiting) // BLOCK_IDS // LANES * LANES
+            for a, b in side_by_side(n):
+                edges = [min(len(waiting), k * BLOCK_IDS) for k in range(a, b + 1)]
                 coded = encode_blocks([waiting[x:y] for x, y in zip(edges, edges[1:])], encoder.bits)
                 lists = [split(x, y) for x, y in zip(edges, edges[1:])]
                 numbers = np.arange(block, block + len(coded), dtype=np.int32)
@@ -148,7 +187,8 @@ def token_blocks(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, en
                 row += last - first
                 total += len(ids)
                 waiting = np.concatenate((waiting, ids))
-                if len(waiting) >= LANES * BLOCK_IDS:
+                # what is left at the end is then coded with as many others
+                if len(waiting) >= (LANES + LANES // 2) * BLOCK_IDS:
                     yield from cut(False)
                     at = 0
         yield from cut(True)
@@ -208,8 +248,8 @@ def read_parts(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, LANES):
-                some = batch.slice(a, LANES)
+            for a, b in side_by_side(batch.num_rows):
+                some = batch.slice(a, b - a)
                 decoded = decode_blocks(some.column(1).to_pylist())
                 out: list[list] = [[] for _ in range(7)]
                 for shard, ids, parts in zip(some.column(0).to_pylist(), decoded, some.column(2).to_pylist()):

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from pricewright.llm import token_output
 from pricewright.llm.html_text import visible_text
 from pricewright.llm.packing import best_boundaries
 from pricewright.llm.range_coder import decode_blocks, encode_blocks
@@ -173,3 +174,43 @@ def test_rows_keep_everything(page, text):
 )
 def test_visibility(page, text):
     assert visible_text(page) == text
+
+
+def test_an_encoder_short_of_memory_keeps_what_it_uses(monkeypatch):
+    path = tokenizer_path()
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_output, "REMEMBERED", 40)
+    encoder, learned = Encoder(path), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (learned.extend(new), learn(new)))
+    library = Tokenizer.from_file(path)
+    for k in range(30):
+        texts = [f"always the same words é {k * 7919 + i * 104729:x}" for i in range(9)]
+        ids, counts = encoder.encode(texts)
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [x for e in expected for x in e]
+    assert learned.count(b" words") == 1
+    assert len(encoder.book) < 200
+
+
+def test_blocks_side_by_side_leave_no_small_rest():
+    few = token_output.LANES + 100
+    assert token_output.side_by_side(few) == [(0, few)]
+    for n in (0, 1, few, 3 * few, 100 * few + 1):
+        runs = token_output.side_by_side(n)
+        assert [x for a, b in runs for x in range(a, b)] == list(range(n))
+        assert all(b - a <= 1.5 * token_output.LANES for a, b in runs)
+
+
+def test_an_id_takes_a_word_at_most_and_carries_go_back():
+    g = np.random.default_rng(2)
+    blocks = [g.integers(0, 1 << 16, 4096) for _ in range(40)] + [np.repeat(g.integers(0, 1 << 16, 64), 64) for _ in range(40)]
+    blocks += [np.where(g.random(n) < 0.02, g.integers(0, 1 << 16, n), np.arange(n) % 3) for n in range(3000, 3040)]
+    coded = encode_blocks(blocks, 16)
+    assert all(a.tolist() == b.tolist() for a, b in zip(blocks, decode_blocks(coded)))
+    # words of 32 bits; 16 bits of a random id, as good as no loss
+    assert all(len(c) % 4 == 0 for c in coded) and max(map(len, coded[:40])) < 4096 * 2.4
+    for bits in (9, 19):
+        some = [g.integers(0, 1 << bits, 500), np.array([(1 << bits) - 1, 0] * 300)]
+        assert all(a.tolist() == b.tolist() for a, b in zip(some, decode_blocks(encode_blocks(some, bits))))
