@@ -176,7 +176,7 @@ def token_blocks(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, en
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             raw, docs_ = data.tobytes(), batch.column(0).to_pylist()
-            for first, last, _, _ in chunks(data, offsets, 1 << 20):
+            for first, last, _, _ in chunks(data, offsets, 1 << 21):
                 texts = [raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace") for i in range(first, last)]
                 ids, counts = encoder.encode(texts)
                 ends = np.cumsum(counts)
