@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pricewright.llm import jaccard
@@ -117,6 +118,33 @@ def test_repeated_substrings(docs, empty):
     assert repeated_substrings(empty).count() == 0
 
 
+def test_repeated_substrings_when_common_parts_share_a_hash(spark, monkeypatch):
+    from pricewright.llm import suffix_dedup
+
+    rnd = random.Random(5)
+    line = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
+    shared, close = line(900), line(399)
+    texts = [line(300) + shared + line(200), line(150) + "A" + shared[100:800] + "B", line(500) + "C" + close + "D" + line(90), close + "E" + line(400), line(700)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    expected = sorted(map(tuple, repeated_substrings(rows).drop("spans").collect()))
+    assert [r[2] for r in expected] == [700, 700, 0, 0, 0]
+    columns, cells, store = {}, suffix_dedup.cell_rows, suffix_dedup.materialize
+
+    def collide(texts, jobs, length, width):
+        found = cells(texts, jobs, length, width)
+        return found.withColumn("i1", F.lit(7).cast("bigint")) if width > 1 else found
+
+    def recorded(df, label):
+        columns[label] = df.columns
+        return store(df, label)
+
+    monkeypatch.setattr(suffix_dedup, "cell_rows", collide)
+    monkeypatch.setattr(suffix_dedup, "materialize", recorded)
+    assert sorted(map(tuple, repeated_substrings(rows).drop("spans").collect())) == expected
+    # wide cells store one hash of their common part, single starts both
+    assert "i2" not in columns["cells-128"] + columns["cells-8"] and "i2" in columns["starts"]
+
+
 def test_near_duplicates(docs, empty, monkeypatch):
     sets, members = {}, defaultdict(list)
     for i, t in corpus():
