@@ -11,8 +11,8 @@ from pricewright.operators import lookup as L
 from pricewright.operators import reshape as R
 from pricewright.operators import select as S
 from pricewright.operators import text_features as TF
-from pricewright.operators.partitioning import keys_together
 from pricewright.operators.quantiles import quantiles
+from pricewright.operators.term_blocks import counted_terms, sampled_bounds
 from pricewright.plans.registry import query
 from pricewright.session import materialize
 from pricewright.vocab import TEXT_COLUMNS
@@ -111,12 +111,18 @@ def price_by_word_count(t):
        GROUP BY ALL""",
 )
 def document_ngrams(t):
-    tokens = t.documents().select(X.clean_tokens(F.col("text"), "alpha").alias("t"))
-    kinds = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("ngram"), X.ngrams(F.col("t"), n).alias("v")) for n in (1, 2, 3)])
-    )
-    values = R.explode_list(tokens.select(kinds.alias("k")).select("k.ngram", "k.v"), "v").where(F.col("value").isNotNull())
-    return keys_together(values, "ngram", "value").groupBy("ngram", "value").agg(F.count("*").alias("count"))
+    def values(docs):
+        tokens = docs.select(X.clean_tokens(F.col("text"), "alpha").alias("t"))
+        kinds = F.explode(
+            F.array(*[F.struct(F.lit(n).alias("ngram"), X.ngrams(F.col("t"), n).alias("v")) for n in (1, 2, 3)])
+        )
+        long = R.explode_list(tokens.select(kinds.alias("k")).select("k.ngram", "k.v"), "v").where(F.col("value").isNotNull())
+        # the key in one column: the digit, then the value
+        return long.select(F.concat(F.col("ngram").cast("string"), "value").alias("term"))
+
+    docs = t.documents()
+    counted = counted_terms(values(docs), sampled_bounds(docs, F.col("text"), values))
+    return counted.select(F.substring("term", 1, 1).cast("int").alias("ngram"), F.expr("substring(term, 2)").alias("value"), F.col("tf").alias("count"))
 
 
 _NGRAMS_SQL = """

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from pricewright.operators import term_blocks as B
 from pricewright.operators import text_features as TF
+from pricewright.plans.text import document_ngrams
+from pricewright.plans.views import Tables
 from pricewright.session import CLEANUP_KEY, materialize
 
 
@@ -42,6 +44,23 @@ def test_blocks_return_their_terms():
     assert sum(len(r["shared"] + r["rest"] + r["text"]) for r in rows) < 0.4 * sum(map(len, terms))
 
 
+def test_ngrams_are_shuffled_in_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_TERMS", 200)
+    texts = [" ".join(re.sub(r"\d", lambda m: "abcdefghij"[int(m[0])], t).split()) if t else t for t in _texts(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = document_ngrams(Tables(spark, str(tmp_path)))
+    plan = out._jdf.queryExecution().sparkPlan().toString().split("REPARTITION_BY_COL")
+    assert len(plan) == 2 and "MapInArrow" in plan[1]
+    got = {(r["ngram"], r["value"]): r["count"] for r in out.collect()}
+    from pricewright.functions.text import clean_tokens
+
+    expected = Counter()
+    for (words,) in df.select(clean_tokens(F.col("text"), "alpha")).collect():
+        expected.update((n, " ".join((words or [])[i : i + n])) for n in (1, 2, 3) for i in range(len(words or []) - n + 1))
+    assert got == expected
+
+
 @pytest.mark.parametrize("kind, width, min_df", [("count", (1, 3), 1), ("tfidf", (1, 2), 2), ("tfidf", (2, 3), 1), ("count", (1, 1), 1)])
 def test_wide_vocabularies_by_ranges(spark, monkeypatch, kind, width, min_df):
     """Several chunks, buckets and blocks; other columns pass, vectors among them; copies and null texts too."""
