@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pricewright.operators import encoders as E
 from pricewright.operators import knn as KNN
+from pricewright.operators import lookup as LOOKUP
 from pricewright.operators import text_features as TF
 from pricewright.operators.knn import knn_predict, nearest
 from pricewright.operators.text_plan import TextPlan
@@ -107,6 +108,24 @@ def test_one_hot_of_many_labels(spark):
     assert got == {-1: (100_003, [100_000], [1.0]), -2: (100_003, [7], [1.0]), 5: (100_003, [5, 100_002], [1.0, 1.0]), 99_999: (100_003, [99_999, 100_000], [1.0, 1.0])}
 
 
+def test_one_hot_labels_stay_off_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(E, "labels_of", lambda *a: pytest.fail("labels were collected"))
+    df = spark.range(30_000).select("id", F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("many"), F.when(F.col("id") > 0, "x").alias("few"))
+    out = E.OneHot(drop="first").fit(df, ["many", "few"]).transform(df, "v")
+    # neither the plan nor the metadata names the labels
+    assert len(out.schema["v"].json()) < 1000 and "StringIndexer" not in out._jdf.queryExecution().toString()
+    got = {r["id"]: list(r["v"].indices) for r in out.where("id in (0, 1, 29999)").collect()}
+    assert got == {0: [], 1: [0], 29_999: [29_998]} and out.first()["v"].size == 29_999
+    monkeypatch.setattr(E, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(LOOKUP, "BROADCAST_ROWS", 100)
+    joined = E.OneHot(drop="first").fit(df, ["many", "few"]).transform(df, "v")
+    assert "strategy=merge" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["id"]: list(r["v"].indices) for r in joined.where("id in (0, 1, 29999)").collect()} == got
+    strict = E.OneHot("error").fit(df, ["many"]).transform(df.withColumn("many", F.lit("other")), "v")
+    with pytest.raises(Exception, match="unseen value in many: other"):
+        strict.collect()
+
+
 def test_encoder_settings(spark, sample):
     plan = E.FeaturePlan(ohe_params={"drop": "first"}, oe_cols=["condition", "color"], oe_params={"handle_unknown": "return_nan"})
     model = plan.fit(sample, "sold_price")
